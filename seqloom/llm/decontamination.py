@@ -204,14 +204,19 @@ def index_of(items: list[tuple[int | None, str]]) -> Index:
     return _INDEXES[key]
 
 
+def item_blocks(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[list[tuple[int | None, str]]]:
+    """The distinct items that have a text, in blocks of about BLOCK_CHARS characters."""
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), common.utf8(item_text).alias("text")).where("text <> ''").distinct()
+    blocks = max(1, math.ceil((items.agg(F.sum(F.length("text"))).first()[0] or 0) / BLOCK_CHARS))
+    for b in range(blocks):
+        yield sorted(((r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()), key=repr)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row for each (document row, item) pair that leaks, at its best stretch."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), common.utf8(text).alias("text"))
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), common.utf8(item_text).alias("text")).where("text <> ''").distinct()
-    blocks = max(1, math.ceil((items.agg(F.sum(F.length("text"))).first()[0] or 0) / BLOCK_CHARS))
     out = None
-    for b in range(blocks):
-        block = sorted(((r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()), key=repr)
+    for block in item_blocks(benchmark, item_id, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -226,5 +231,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     return out
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The documents that leak no item, all columns kept."""
+    out = docs
+    for block in item_blocks(benchmark, item_id, item_text):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = index_of(shared.value)
+            for batch in common.rows(batches, 4096):
+                leaking = {t for t, *_ in index.find([t or "" for t in batch.column(text).to_pylist()])}
+                yield batch.filter(pa.array([t not in leaking for t in range(batch.num_rows)], pa.bool_()))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
