@@ -108,7 +108,9 @@ def keep(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame
     marked = with_measures(docs, F.col(text)).select(*(F.col(f"`{c}`") for c in columns), base_failed().alias("_base"), rule_failed().alias("_failed"))
     hosts = host_verdicts(marked.select(F.col(host).cast("string").alias("host"), F.col("_failed").alias("failed")))
     verdicts = hosts.select(F.col("host").alias("_host"), F.col("rejected").alias("_rejected"))
-    return marked.where("NOT _base").join(verdicts, F.col(host).cast("string").eqNullSafe(F.col("_host"))).where("NOT _rejected").select(*(F.col(f"`{c}`") for c in columns))
+    # one condition over both sides: a filter on _base alone would be pushed down and worked out anew inside the lambdas
+    stays = F.when(F.col("_base"), F.lit(False)).otherwise(~F.col("_rejected"))
+    return marked.join(verdicts, F.col(host).cast("string").eqNullSafe(F.col("_host"))).where(stays).select(*(F.col(f"`{c}`") for c in columns))
 
 
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
