@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,6 +33,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(df: DataFrame) -> None:
+    """Let Spark's cleaner drop the shuffle and checkpoint files of what nobody refers to any more.
+
+    The cleaner acts when the driver collects its garbage, by itself only every half hour.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def utf8(column: str | Column) -> Column:
     """A text column; null counts as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -14,10 +14,11 @@ give first components. Within a component nothing is compared any more, and for
 same leader the distances to it, already known, rule pairs out: the Jaccard distance is a metric, so
 ``|d(x, r) - d(y, r)|`` over the threshold needs no look at x and y.
 
-*Block skipping.* Only lists that still mix components go on. They are dealt as pairs of blocks, so
+*Block skipping.* Only lists that still hold several components go on. They are dealt as pairs of blocks, so
 that no task holds a long list; in a block pair entries are in order of size, and whole ranges are
 skipped by size, by their places in the two sets, and by a parity bitmap whose Hamming distance is at
-most the symmetric difference. What remains is verified on the full sets.
+most the symmetric difference. What remains is verified on the full sets: first a forest of the closest pairs of
+each block pair, whose links join most of what belongs together, then every pair still between components.
 
 Defined cases: null or empty texts and texts without words have the empty set, size 0, and
 are linked with nothing (component_id: their own doc_id); equal rows fall in one component; the same
@@ -34,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from . import common
@@ -42,7 +44,9 @@ from .components import components
 
 #: Of the frequent shingles kept for the order (16 bytes each); those beyond it are ordered by hash.
 MOST_FREQUENT = 65_536
-FREQUENT_FROM, BITS, BLOCK, LEADERS = 32, 1024, 256, 3
+FREQUENT_FROM, BLOCK, LEADERS = 32, 256, 3
+#: Bits of a set's parity bitmap, by the size of the set; larger bitmaps fold onto smaller ones.
+WIDTHS = ((1024, 1024), (6_000, 4096), (float("inf"), 16_384))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -87,7 +91,55 @@ def node_of(found: np.ndarray) -> int | None:
 
 def bitmap(found: np.ndarray) -> bytes:
     """Parity bitmap: each member flips one bit."""
-    return np.packbits(np.bincount((found >> 20) & (BITS - 1), minlength=BITS) & 1).tobytes()
+    width = next(w for most, w in WIDTHS if len(found) <= most)
+    return np.packbits(np.bincount((found >> 20) & (width - 1), minlength=width) & 1).tobytes()
+
+
+def folded(bitmaps: list[bytes], width: int) -> np.ndarray:
+    """[rows, words of 64 bits] at one width; rows of narrower bitmaps stay zero."""
+    out = np.zeros((len(bitmaps), width // 64), np.uint64)
+    for size in {len(b) for b in bitmaps}:
+        if size * 8 >= width:
+            at = [i for i, b in enumerate(bitmaps) if len(b) == size]
+            rows = np.frombuffer(b"".join(bitmaps[i] for i in at), np.uint64).reshape(len(at), size * 8 // width, width // 64)
+            out[at] = np.bitwise_xor.reduce(rows, axis=1)
+    return out
+
+
+def near_enough(bitmaps_a: list[bytes], bitmaps_b: list[bytes], na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """For each pair of rows: can the sets be within the threshold, as far as their bitmaps tell?"""
+    ok = np.ones(len(na), bool)
+    for most, width in zip((0, *(m for m, _ in WIDTHS[:-1])), (w for _, w in WIDTHS), strict=True):
+        at = np.flatnonzero(ok & (np.minimum(na, nb) > most))
+        if len(at):
+            x, y = folded([bitmaps_a[i] for i in at], width), folded([bitmaps_b[i] for i in at], width)
+            ok[at] = within_bound(np.bitwise_count(x ^ y).sum(1, dtype=np.int64), na[at], nb[at], percent)
+    return ok
+
+
+def stream_hashes(texts: list[str], size: int, known: WordHashes) -> np.ndarray:
+    """Hashes of all full shingles of a batch of texts, equal texts once, in one go over the stream of their words."""
+    words: list[bytes] = []
+    ends, seen = [], set()
+    for t in texts:
+        data = t.encode("utf-8", "surrogatepass").lower()
+        if (key := hash(data)) in seen:
+            continue
+        seen.add(key)
+        words += data.split()
+        ends.append(len(words))
+    if len(words) < size:
+        return np.empty(0, np.int64)
+    ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    h = np.full(len(ids) - size + 1, size, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(size):
+            h = h * _MULTIPLIER + ids[i : len(ids) - size + 1 + i]
+        h = mixed(h)
+    inside = np.ones(len(h), bool)
+    for end in ends:  # shingles that reach over a text's end are none
+        inside[max(0, end - size + 1) : end] = False
+    return h[inside].view(np.int64)
 
 
 def census(docs: DataFrame, size: int) -> DataFrame:
@@ -96,13 +148,10 @@ def census(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in common.rows(batches):
-            seen, sets = set(), []
-            for t in batch.column(0).to_pylist():
-                found = shingles(t, size, known)
-                if (key := node_of(found)) is not None and key not in seen:
-                    seen.add(key)
-                    sets.append(found)
-            values, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.int64), np.empty(0, np.int64))
+            h = stream_hashes(batch.column(0).to_pylist(), size, known)
+            slots = (h >> 9) & ((1 << 22) - 1)
+            h = h[np.bincount(slots, minlength=1 << 22)[slots] >= 3]  # nothing else can occur thrice
+            values, counts = np.unique(h, return_counts=True)
             often = counts >= 3
             yield pa.RecordBatch.from_arrays([pa.array(values[often]), pa.array(counts[often].astype(np.int64))], ["shingle", "n"])
 
@@ -144,9 +193,9 @@ def sketched(docs: DataFrame, size: int, percent: int, common_last: np.ndarray)
     return docs.mapInArrow(run, "doc_id long, node long, n long, prefix array<long>, bits binary")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """pairs (x, y) with the exact sizes: x, y, common, total."""
-    need = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(nodes.select("node", "rep"), "node")
+def members_of(need: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(node, members): the full sets of the needed nodes, made again from the texts."""
+    need = need.distinct().join(nodes.select("node", "rep"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -155,11 +204,14 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) ->
             same = [i for i, (s, n) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if node_of(s) == n]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(same, pa.int64())), pa.array([sets[i] for i in same], pa.list_(pa.int64()))], ["node", "members"])
 
-    sets = docs.join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text").mapInArrow(run, "node long, members array<long>")
-    sets = cut(sets)
+    return cut(docs.join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text").mapInArrow(run, "node long, members array<long>"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (x, y) with the exact sizes: x, y, common, total."""
     left, right = (sets.select(F.col("node").alias(k), F.col("members").alias(f"m{k}")) for k in "xy")
     common_size = F.size(F.array_intersect("mx", "my"))
-    return pairs.join(left, "x").join(right, "y").select("x", "y", common_size.alias("common"), (F.size("mx") + F.size("my") - common_size).alias("total")).distinct()
+    return cut(pairs.join(left, "x").join(right, "y").select("x", "y", common_size.alias("common"), (F.size("mx") + F.size("my") - common_size).alias("total")).distinct())
 
 
 def within_bound(hamming, nx, ny, percent: int):
@@ -167,20 +219,36 @@ def within_bound(hamming, nx, ny, percent: int):
     return hamming * (100 + percent) <= (100 - percent) * (nx + ny)
 
 
-def hamming_sql(a: str, b: str):
-    """Hamming distance of two bitmap columns."""
-    words = [F.bit_count(F.conv(F.hex(F.substring(a, i * 8 + 1, 8)), 16, -10).cast("long").bitwiseXOR(F.conv(F.hex(F.substring(b, i * 8 + 1, 8)), 16, -10).cast("long"))) for i in range(BITS // 64)]
-    return sum(words[1:], words[0])
-
-
 def by_leader(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """(x, y): each node with the leaders that it shares most index entries with, unless their bitmaps rule it out."""
     shared = lists.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("c"))
     best = shared.withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), "leader"))).where(F.col("k") <= LEADERS)
-    a = nodes.select(F.col("node"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
-    b = nodes.select(F.col("node").alias("leader"), F.col("n").alias("ny"), F.col("bits").alias("by"))
-    pairs = best.join(a, "node").join(b, "leader").where((100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & within_bound(hamming_sql("bx", "by"), F.col("nx"), F.col("ny"), percent))
-    return pairs.select(F.col("node").alias("x"), F.col("leader").alias("y"))
+    a = nodes.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
+    b = nodes.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("bits").alias("by"))
+    pairs = best.select(F.col("node").alias("x"), F.col("leader").alias("y")).join(a, "x").join(b, "y").where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = near_enough(batch.column(4).to_pylist(), batch.column(5).to_pylist(), batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent)
+            yield batch.select(["x", "y"]).filter(pa.array(ok))
+
+    return pairs.select("x", "y", "nx", "ny", "bx", "by").mapInArrow(run, "x long, y long")
+
+
+#: Lists up to this length are thinned by size in one sorted pass; longer ones go on as they are.
+LONGEST_SORTED = 4096
+
+
+def with_partner(lists: DataFrame, percent: int) -> DataFrame:
+    """Entries with a set of fitting size in their list.
+
+    In order of size the neighbours fit best: if neither does, no set of the list does.
+    """
+    w = Window.partitionBy("token").orderBy("n", "node")
+    below, above = F.lag("n").over(w), F.lead("n").over(w)
+    fits = F.coalesce(100 * below >= percent * F.col("n"), F.lit(False)) | F.coalesce(100 * F.col("n") >= percent * above, F.lit(False))
+    short = lists.where(F.col("m") <= LONGEST_SORTED).withColumn("_fits", fits).where("_fits").drop("_fits")
+    return short.unionByName(lists.where(F.col("m") > LONGEST_SORTED))
 
 
 ENTRY = ["token", "lo", "hi", "own", "node", "n", "pos", "comp", "leader", "d", "bits"]
@@ -199,10 +267,11 @@ def block_pairs(mixed_lists: DataFrame) -> DataFrame:
     )
 
 
-def pairs_in_block(g: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of one block pair, in order of size, that no bound rules out."""
+def pairs_in_block(g: dict, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index pairs of one block pair, in order of size, that no bound rules out, and how close to the bound they are."""
     n, m = g["n"], len(g["n"])
-    out: list[tuple[np.ndarray, np.ndarray]] = []
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    maps: dict[int, np.ndarray] = {}
     apart = len({*g["own"].tolist()}) > 1 or bool(g["lo"][0] != g["hi"][0])
     for a in range(0, m, 64):
         b = min(a + 64, m)
@@ -219,28 +288,66 @@ def pairs_in_block(g: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray,
         # both verified against one leader: the triangle inequality
         ok &= ~((g["leader"][i] == g["leader"][j]) & (np.abs(g["d"][i] - g["d"][j]) > 1 - percent / 100 + 1e-9))
         i, j = i[ok], j[ok]
-        hamming = np.bitwise_count(g["bits"][i] ^ g["bits"][j]).sum(1, dtype=np.int64) if len(i) else np.empty(0, np.int64)
-        ok = within_bound(hamming, n[i], n[j], percent)
-        out.append((i[ok], j[ok]))
-    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
-
-
-def candidates(entries: DataFrame, percent: int) -> DataFrame:
-    """(x, y) over all block pairs; entries arrive sorted by block pair and size."""
+        share = np.zeros(len(i))
+        for most, width in zip((0, *(k for k, _ in WIDTHS[:-1])), (w for _, w in WIDTHS), strict=True):
+            if not len(i) or n[-1] <= most:
+                break
+            if width not in maps:
+                maps[width] = folded(g["bits"], width)
+            wide = n[i] > most  # i is the smaller one
+            apart_by = np.bitwise_count(maps[width][i[wide]] ^ maps[width][j[wide]]).sum(1, dtype=np.int64)
+            share[wide] = apart_by / (n[i[wide]] + n[j[wide]])
+            ok = np.ones(len(i), bool)
+            ok[wide] = within_bound(apart_by, n[i[wide]], n[j[wide]], percent)
+            i, j, share = i[ok], j[ok], share[ok]
+        out.append((i, j, share))
+    return tuple(np.concatenate([o[k] for o in out]) for k in range(3))
+
+
+def forest(i: np.ndarray, j: np.ndarray, share: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """Which pairs to look at first: closest first, each joining components that none before it has joined."""
+    above: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while (up := above.get(c, c)) != c:
+            above[c] = above.get(up, up)
+            c = up
+        return c
+
+    kept = []
+    for k in np.argsort(share, kind="stable").tolist():
+        a, b = top(int(comp[i[k]])), top(int(comp[j[k]]))
+        if a != b:
+            above[max(a, b)] = min(a, b)
+            kept.append(k)
+    return np.array(kept, np.int64)
+
+
+def candidates(entries: DataFrame, percent: int, first: bool) -> DataFrame:
+    """(x, y) over all block pairs; entries arrive sorted by block pair and size.
+
+    ``first``: only a forest of each block pair, and (node, null) for every node that some pair holds. A list of
+    many near copies gives rows in proportion to its length; once their links are known, few pairs remain.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
 
         def pairs(t: pa.Table) -> pa.RecordBatch:
             g = {c: t.column(c).to_numpy() for c in ENTRY if c != "bits"}
-            g["bits"] = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(len(t), -1)
+            bits = t.column("bits").to_pylist()
             key = np.stack([g["token"], g["lo"], g["hi"]])
             cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist(), len(t)]
             found = set()
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if b - a > 1:
-                    i, j = pairs_in_block({c: v[a:b] for c, v in g.items()}, percent)
-                    x, y = g["node"][a:b][i], g["node"][a:b][j]
+                    i, j, share = pairs_in_block({c: v[a:b] for c, v in g.items()} | {"bits": bits[a:b]}, percent)
+                    node = g["node"][a:b]
+                    if first and len(i):
+                        found.update((n, None) for n in node[np.unique(np.concatenate([i, j]))].tolist())
+                        trees = forest(i, j, share, g["comp"][a:b])
+                        i, j = i[trees], j[trees]
+                    x, y = node[i], node[j]
                     found.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True))
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["x", "y"])
 
@@ -263,48 +370,89 @@ def candidates(entries: DataFrame, percent: int) -> DataFrame:
 
 
 def classes(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, node (the set's identity, null if empty), n_shingles, component_id."""
+    """Per row: doc_id, node (the set's identity, null if empty), root (the least node of its component), n_shingles, component_id."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), common.utf8(text).alias("text"))
-    rows = cut(sketched(docs, size, percent, frequent(docs, size)))
-    nodes = cut(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
-    index = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    heads = index.groupBy("token").agg(F.count("*").alias("m"), F.min("node").alias("leader")).where("m > 1")
-    lists = cut(index.join(heads, "token"))
+    every = cut(sketched(docs, size, percent, frequent(docs, size)))
+    rows = cut(every.select("doc_id", "node", "n"))
+    nodes = cut(every.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
+    del every
+    common.release(docs)
+    index = nodes.select("node", F.posexplode("prefix").alias("pos", "token"))
+    lists = cut(index.join(index.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "token"))
+    nodes = cut(nodes.drop("prefix"))
+    del index
+    common.release(docs)
+    lists = with_partner(lists.join(nodes.select("node", "n"), "node"), percent)
+    lists = cut(lists.join(lists.groupBy("token").agg(F.min("node").alias("leader")), "token"))
 
-    pairs = cut(by_leader(lists, nodes, percent))
     linked = F.col("common") * 100 >= percent * F.col("total")
-    known = cut(verified(pairs, nodes, docs, size)) if not pairs.isEmpty() else None
-    links = known.where(linked).select(F.col("x").alias("u"), F.col("y").alias("v")) if known is not None else None
-    first = components(links) if links is not None else None
-
-    own = lists.drop("leader")
-    own = own.join(first.withColumnRenamed("root", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node")) if first is not None else own.withColumn("comp", F.col("node"))
-    mixed_lists = own.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token")
-    nearest = known.groupBy("x").agg(F.max_by(F.struct("y", (1 - F.col("common") / F.col("total")).alias("d")), F.col("common") / F.col("total")).alias("k")).select(F.col("x").alias("node"), F.col("k.y").alias("leader"), F.col("k.d").alias("d")) if known is not None else None
-    own = own.join(mixed_lists, "token").join(nodes.select("node", "bits"), "node")
-    own = own.join(nearest, "node", "left").withColumns({"leader": F.coalesce("leader", "node"), "d": F.coalesce("d", F.lit(0.0))}) if known is not None else own.withColumns({"leader": F.col("node"), "d": F.lit(0.0)})
-    more = cut(candidates(block_pairs(own), percent))
-    if not more.isEmpty():
-        late = verified(more, nodes, docs, size).where(linked).select(F.col("x").alias("u"), F.col("y").alias("v"))
-        links = cut(links.unionByName(late)) if links is not None else cut(late)
+    edges = lambda v: v.where(linked).select(F.col("x").alias("u"), F.col("y").alias("v"))
+    pairs = cut(by_leader(lists, nodes, percent))
+    known = verified(pairs, members_of(pairs.select(F.explode(F.array("x", "y")).alias("node")), nodes, docs, size))
+    links = edges(known)
+    common.release(docs)
+
+    nearest = known.groupBy("x").agg(F.max_by(F.struct("y", (1 - F.col("common") / F.col("total")).alias("d")), F.col("common") / F.col("total")).alias("k")).select(F.col("x").alias("node"), F.col("k.y").alias("leader"), F.col("k.d").alias("d"))
+    about = nodes.select("node", "bits").join(nearest, "node", "left").withColumns({"leader": F.coalesce("leader", "node"), "d": F.coalesce("d", F.lit(0.0))})
+
+    def remaining(links: DataFrame) -> DataFrame:
+        """Entries of the lists that still hold several components; the wide columns come last."""
+        roots = components(links).withColumnRenamed("root", "comp")
+        own = lists.drop("leader").join(roots, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        several = own.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token")
+        return own.join(several, "token").join(about, "node")
+
+    found = cut(candidates(block_pairs(remaining(links)), percent, True))
+    sets = members_of(found.where("y IS NULL").select(F.col("x").alias("node")), nodes, docs, size)
+    links = cut(links.unionByName(edges(verified(found.where("y IS NOT NULL"), sets))))
+    common.release(docs)
+    # what the forests' links leave apart is looked at pair by pair
+    rest = cut(candidates(block_pairs(remaining(links)), percent, False))
+    links = cut(links.unionByName(edges(verified(rest, sets))))
+    common.release(docs)
     ids = nodes.select("node", "rep")
-    if links is not None:
-        roots = components(links)
-        ids = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        least = ids.groupBy("root").agg(F.min("rep").alias("component_id"))
-        ids = ids.join(least, "root").select("node", "component_id")
-    else:
-        ids = ids.withColumnRenamed("rep", "component_id")
+    ids = ids.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = ids.groupBy("root").agg(F.min("rep").alias("component_id"))
+    ids = ids.join(least, "root").select("node", "root", "component_id")
     some, none = rows.where("n > 0").select("doc_id", "node", "n"), rows.where("n = 0")
     return (
         some.join(ids, "node")
-        .select("doc_id", "node", F.col("n").alias("n_shingles"), "component_id")
-        .unionByName(none.select("doc_id", "node", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+        .select("doc_id", "node", "root", F.col("n").alias("n_shingles"), "component_id")
+        .unionByName(none.select("doc_id", "node", F.col("node").alias("root"), F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
     )
 
 
+def with_nodes(docs: DataFrame, size: int, text: str, name: str) -> DataFrame:
+    """The documents with their sets' identities in a further column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in common.rows(batches):
+            nodes = [node_of(shingles(t or "", size, known)) for t in batch.column(text).to_pylist()]
+            yield batch.append_column(name, pa.array(nodes, pa.int64()))
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
+def one_of_each(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, all columns kept, but of each component only the row of the smallest doc_id.
+
+    Of repeated rows of that doc_id one stays; documents without words all stay.
+    """
+    found = classes(docs, size, percent, doc_id, text).where("node IS NOT NULL AND doc_id <=> component_id")
+    stay = found.groupBy("root").agg(F.min("node").alias("_stay"), F.min("doc_id").alias("_id"))
+    rows = found.groupBy("root", "node").agg(F.count("*").alias("_rows"))
+    stay = stay.join(rows.withColumnRenamed("node", "_stay"), ["root", "_stay"]).drop("root")
+    blank = F.coalesce(F.btrim(F.col(text), F.lit(" \t\n\x0b\f\r")), F.lit("")) == ""
+    marked = with_nodes(docs.where(~blank), size, text, "_node")
+    kept = marked.join(stay, (F.col("_node") == F.col("_stay")) & F.col(doc_id).cast("long").eqNullSafe(F.col("_id")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    again = kept.where("_rows > 1").dropDuplicates(["_node"])
+    return kept.where("_rows = 1").select(*columns).unionByName(again.select(*columns)).unionByName(docs.where(blank))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classes(common.table(spark, sf_dir, "documents")).drop("node")
+    return classes(common.table(spark, sf_dir, "documents")).drop("node", "root")
 
 
 #: The same by brute force: all pairs that share a shingle, then reachability.
