@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+import shutil
 import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,8 +30,11 @@ def cut(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        set_to = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(set_to or tempfile.mkdtemp(prefix="seqloom-checkpoint-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            folder = tempfile.mkdtemp(prefix="seqloom-checkpoint-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
