@@ -24,6 +24,8 @@ LEAST_WORDS, REPEATED_PERCENT, WINDOW = 10, 20, 5
 #: More than so many symbols for 100 words, or repeated lines for 100 lines with a word, fail.
 SYMBOLS_PERCENT, DUP_LINES_PERCENT = 50, 30
 HOST_LIMIT = 0.5
+#: Rejected hosts that are broadcast at most; with more, documents are dealt by host.
+MOST_BROADCAST = 100_000
 #: Bounds of the prior's weight in documents.
 LEAST_WEIGHT, MOST_WEIGHT = 1.0, 10_000.0
 
@@ -107,10 +109,12 @@ def keep(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame
     columns = docs.columns
     marked = with_measures(docs, F.col(text)).select(*(F.col(f"`{c}`") for c in columns), base_failed().alias("_base"), rule_failed().alias("_failed"))
     hosts = host_verdicts(marked.select(F.col(host).cast("string").alias("host"), F.col("_failed").alias("failed")))
-    verdicts = hosts.select(F.col("host").alias("_host"), F.col("rejected").alias("_rejected"))
+    rejected = hosts.where("rejected").select(F.col("host").alias("_host"), F.lit(True).alias("_rejected"))
+    if rejected.count() <= MOST_BROADCAST:  # else Spark joins by host
+        rejected = F.broadcast(rejected)
     # one condition over both sides: a filter on _base alone would be pushed down and worked out anew inside the lambdas
-    stays = F.when(F.col("_base"), F.lit(False)).otherwise(~F.col("_rejected"))
-    return marked.join(verdicts, F.col(host).cast("string").eqNullSafe(F.col("_host"))).where(stays).select(*(F.col(f"`{c}`") for c in columns))
+    stays = F.when(F.col("_base"), F.lit(False)).otherwise(F.coalesce(~F.col("_rejected"), F.lit(True)))
+    return marked.join(rejected, F.col(host).cast("string").eqNullSafe(F.col("_host")), "left").where(stays).select(*(F.col(f"`{c}`") for c in columns))
 
 
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
