@@ -150,6 +150,26 @@ def test_decontamination_recall():
     assert sum(w in found for w in want) >= 0.9 * len(want)
 
 
+@pytest.mark.parametrize("n", [20, 30, 50, 100, 150])
+def test_decontamination_edits_anywhere(n, monkeypatch):
+    """Every allowed edit at the head, at the tail, or anywhere: no item is missed, however the count is cut in parts."""
+    r = random.Random(n)
+    items = [(i, prose(n, 6000 + 100 * n + i)) for i in range(25)]
+    index, k, texts = decontamination.Index(items), decontamination.allowed(n), []
+    for i, x in items:
+        w = x.split()
+        mixed = list(w)
+        for p in r.sample(range(n), k):
+            mixed[p] = "zz"
+        for j, v in enumerate((["zz"] * k + w[k:], w[k:], w[:-k] + ["zz"] * k, w[:-k], mixed)):
+            texts.append(" ".join([prose(40, 7000 + i), *v, prose(40, 8000 + j)]))
+    want = {(5 * i + j, i) for i in range(25) for j in range(5)}
+    assert {(t, i) for t, i, *_ in index.find(texts)} >= want
+    found = [*index.find(texts)]
+    monkeypatch.setattr(decontamination, "COUNTED", 500)
+    assert [*index.find(texts)] == found
+
+
 def brute_sets(plain):
     sets = []
     for i, t in plain:
