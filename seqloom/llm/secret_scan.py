@@ -8,9 +8,12 @@ of them, encoded candidates are *decoded and parsed* before anything is reported
 ``der_key``  base64 or hex that decodes to one DER value filling the buffer exactly, whose nested
              lengths all close and whose layout is that of a private key (PKCS#1, PKCS#8, SEC1).
 ``ssh_key``  base64 of ``openssh-key-v1`` whose length-prefixed fields nest up to a key blob.
-``pem``      a PRIVATE KEY armour block whose body decodes to one of the two above.
+``pem``      a PRIVATE KEY armour block whose body decodes to one of the two above (not given again as such).
 ``basic``    ``Basic`` credentials whose base64 decodes to ``user:password`` in printable ASCII.
 
+Base64 may be of either alphabet and wrapped over lines, with real or written-out (``\\n``) breaks; where a key
+begins is told by its first bytes, where it ends by its lengths, and no letter may follow directly.
+
 Defined cases: a null or empty text has no spans and the digest of the empty string;
 repeated rows give repeated results; a null doc_id stays null; extra columns are ignored;
 an empty table gives an empty result. Offsets are code points, end exclusive.
@@ -38,9 +41,14 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]{16,}")
-ENCODED = re.compile(r"(?<![A-Za-z0-9+/=])M[A-Za-z0-9+/]{47,}={0,2}")  # DER SEQUENCE (0x30) starts with M
-OPENSSH = re.compile(r"(?<![A-Za-z0-9+/=])b3BlbnNzaC1rZXktdjEA[A-Za-z0-9+/]{40,}={0,2}")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,24}?)PRIVATE KEY-----([A-Za-z0-9+/=\s]{40,})-----END \1PRIVATE KEY-----")
+DER_START = re.compile(r"M[A-P][A-Za-z0-9+/_-]{10}")  # DER SEQUENCE (0x30) and its length
+OPENSSH_START = re.compile(r"b3BlbnNzaC1rZXktdjEA")
+#: Line breaks within base64, real or written out, and the backslash that JSON may put before a slash.
+BREAK = r"[\x20\t]*(?:\\+[nr]|\\?[\r\n])(?:\\+[nrt]|\s)*|\\(?=/)"
+LETTERS = re.compile(r"([A-Za-z0-9+/_-]+)|" + BREAK)
+END = re.compile(r"={0,2}(?![A-Za-z0-9+/_=])")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,24}?)PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]|\\+[nrt]|\\(?=[/\s])){40,})-----END \1PRIVATE KEY-----")
+WRITTEN_OUT = re.compile(r"\\+[nrt]|\\")
 BASIC = re.compile(r"\bBasic ([A-Za-z0-9+/]{8,}={0,2})(?![A-Za-z0-9+/=])", re.A)
 HEX_SEQUENCE = re.compile(r"(?<![0-9a-fA-F])30[0-9a-fA-F]{94,}")
 
@@ -124,6 +132,69 @@ def is_openssh_key(data: bytes) -> bool:
     return at == len(data)
 
 
+def der_size(data: bytes) -> int | None:
+    """Bytes of the DER value that begins here, if it begins as a private key does: a sequence, a version of one byte."""
+    width = data[1] & 0x7F if data[1] & 0x80 else 0
+    if data[0] != 0x30 or width > 4 or data[1] == 0x80 or data[2 + width : 4 + width] != b"\x02\x01":
+        return None
+    return 2 + width + (int.from_bytes(data[2 : 2 + width]) if width else data[1])
+
+
+def letters(text: str, at: int, n: int) -> tuple[str, int] | None:
+    """(n letters of base64 from a place on, past line breaks; where they end), None when there are fewer."""
+    found: list[str] = []
+    while n and (m := LETTERS.match(text, at)):
+        if m[1]:
+            found.append(m[1][:n])
+            n -= len(found[-1])
+            at += len(found[-1])
+        else:
+            at = m.end()
+    return None if n else ("".join(found), at)
+
+
+def read64(text: str, at: int, size: int) -> tuple[bytes, int] | None:
+    """(bytes encoded from a place on, where their letters end)."""
+    n = -(-size * 4 // 3)
+    got = letters(text, at, n) if size and n <= len(text) - at else None
+    return got and ((decode64(got[0]) or b"")[:size], got[1])
+
+
+def openssh_size(text: str, at: int) -> int | None:
+    """Bytes of the OpenSSH key that is encoded from a place on, by the lengths of its fields."""
+
+    def number(place: int) -> int | None:
+        got = read64(text, at, place + 4)
+        return got and int.from_bytes(got[0][place:])
+
+    size, fields = len(b"openssh-key-v1\0"), 3
+    for step in range(2):
+        for _ in range(fields):
+            if (n := number(size)) is None:
+                return None
+            size += 4 + n
+        if step == 0:
+            if not 1 <= (keys := number(size) or 0) <= 16:
+                return None
+            size, fields = size + 4, keys + 1
+    return size
+
+
+def encoded_keys(text: str) -> Iterator[tuple[int, int, str]]:
+    """Keys in base64, wherever one begins; what lies within a key is not looked at again."""
+    done = 0
+    starts = [(m.start(), "der_key") for m in DER_START.finditer(text)]
+    if "b3BlbnNzaC1r" in text:
+        starts = sorted(starts + [(m.start(), "ssh_key") for m in OPENSSH_START.finditer(text)])
+    for at, kind in starts:
+        if at < done:
+            continue
+        size = der_size(decode64(text[at : at + 12])) if kind == "der_key" else openssh_size(text, at)
+        if size and (got := read64(text, at, size)) and (end := END.match(text, got[1])) and key_kind(got[0]) == kind:
+            done = end.end()
+            yield at, done, kind
+
+
 def is_token(text: str) -> bool:
     """A signed token: header object with ``alg``, claims object, signature bytes."""
     parts = [decode64(x) for x in text.split(".")]
@@ -161,14 +232,13 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def structural_spans(text: str) -> list[tuple[int, int, str]]:
     """Candidates that survive decoding and parsing."""
-    spans = []
+    spans, armoured = [], []
     if "eyJ" in text or "." in text and "ey" in text:
         spans += [(m.start(), m.end(), "jwt") for m in JWT.finditer(text) if is_token(m[0])]
     if "-----BEGIN" in text:
-        spans += [(m.start(), m.end(), "pem") for m in PEM.finditer(text) if key_kind(decode64(m[2]))]
-    spans += [(m.start(), m.end(), "der_key") for m in ENCODED.finditer(text) if key_kind(decode64(m[0])) == "der_key"]
-    if "b3BlbnNzaC1r" in text:
-        spans += [(m.start(), m.end(), "ssh_key") for m in OPENSSH.finditer(text) if key_kind(decode64(m[0])) == "ssh_key"]
+        armoured = [(m.start(), m.end(), "pem") for m in PEM.finditer(text) if key_kind(decode64(WRITTEN_OUT.sub("", m[2])))]
+        spans += armoured
+    spans += [k for k in encoded_keys(text) if not any(a <= k[0] < b for a, b, _ in armoured)]
     for m in HEX_SEQUENCE.finditer(text):
         if len(m[0]) % 2 == 0 and key_kind(bytes.fromhex(m[0])) == "der_key":
             spans.append((m.start(), m.end(), "der_key"))
