@@ -2,7 +2,7 @@
 
 The rules are regular expressions over the lower-cased text, made from families of names
 and sentence templates (several hundred in all). A keyword automaton gates them: only the
-rules whose keyword occurs in a document are run on it. Hits are resolved by priority:
+rules of which a keyword occurs in a document are run on it (each alternative of a name holds one). Hits are resolved by priority:
 a hit whose interval lies inside that of a rule with the same or higher priority is
 suppressed (full sentences over bare names, versioned names over plain ones).
 
@@ -27,14 +27,14 @@ from . import common
 
 #: Base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: Label, keyword that must occur, and pattern of the licence's names (spaces match any gap between words).
+#: Label, keywords of which one must occur, and pattern of the licence's names (spaces match any gap between words).
 FAMILIES = [
-    ("mit", "mit", "mit|expat|x11 mit"),
-    ("apache-2", "apache", "apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?|asl ?2(?: 0)?"),
+    ("mit", "mit|expat", "mit|expat|x11 mit"),
+    ("apache-2", "apache|asl", "apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?|asl ?2(?: 0)?"),
     ("apache-1", "apache", "apache(?: software)?(?: license)?(?: version| v)? ?1(?: [01])?"),
-    ("gpl-3", "general public", "(?:gnu )?general public license(?: version| v)? ?3(?: 0)?"),
-    ("gpl-2", "general public", "(?:gnu )?general public license(?: version| v)? ?2(?: 0)?"),
-    ("gpl", "general public", "(?:gnu )?general public license"),
+    ("gpl-3", "general public", "(?<!lesser )(?<!affero )(?<!library )(?:gnu )?general public license(?: version| v)? ?3(?: 0)?"),
+    ("gpl-2", "general public", "(?<!lesser )(?<!affero )(?<!library )(?:gnu )?general public license(?: version| v)? ?2(?: 0)?"),
+    ("gpl", "general public", "(?<!lesser )(?<!affero )(?<!library )(?:gnu )?general public license"),
     ("gpl-3", "gpl", "(?:gnu )?gpl ?v?3(?: 0)?(?: only| or later)?"),
     ("gpl-2", "gpl", "(?:gnu )?gpl ?v?2(?: 0)?(?: only| or later)?"),
     ("lgpl-3", "lesser", "(?:gnu )?lesser general public license(?: version| v)? ?3(?: 0)?"),
@@ -47,7 +47,7 @@ FAMILIES = [
     ("bsd-3", "bsd", "(?:3|three) clause bsd|bsd ?(?:3|three) clause|(?:new|modified|revised) bsd"),
     ("bsd-2", "bsd", "(?:2|two) clause bsd|bsd ?(?:2|two) clause|simplified bsd|freebsd"),
     ("bsd-4", "bsd", "(?:4|four) clause bsd|bsd ?(?:4|four) clause|original bsd"),
-    ("0bsd", "0bsd", "0bsd|zero clause bsd"),
+    ("0bsd", "0bsd|zero clause", "0bsd|zero clause bsd"),
     ("isc", "isc", "isc"),
     ("mpl-2", "mozilla", "mozilla public license(?: version| v)? ?2(?: 0)?"),
     ("mpl-1", "mozilla", "mozilla public license(?: version| v)? ?1(?: [01])?"),
@@ -78,18 +78,18 @@ FAMILIES = [
     ("eupl", "european union", "european union public licen[cs]e(?: version| v)?(?: 1(?: [012])?)?"),
     ("cddl", "cddl", "cddl(?: 1 [01])?"),
     ("postgresql", "postgresql", "postgresql"),
-    ("python-2", "python", "(?:python software foundation|psf)(?: license)?(?: version| v)?(?: 2(?: 0)?)?"),
+    ("python-2", "python|psf", "(?:python software foundation|psf)(?: license)?(?: version| v)?(?: 2(?: 0)?)?"),
 ]
-#: Sentence forms, best first; {} is the name. A family and a form make one rule.
+#: Sentence forms, best first; {} is the name, {named} the name with "license" in or after it. A family and a form make one rule.
 FORMS = [
     (r"spdx license identifier {}", 0.99),
     (r"(?:this (?:work|file|software|program|document|text|code|project|package) )?(?:is |are )?(?:licensed|released|distributed|published|provided|available|redistributed) (?:under|subject to) (?:the )?(?:terms of )?(?:the )?{}(?: licen[cs]e)?", 0.95),
     (r"(?:under|subject to) (?:the )?(?:terms|conditions)(?: and conditions)? of (?:the )?{}(?: licen[cs]e)?", 0.9),
-    (r"under (?:the |a )?{}(?: licen[cs]e)", 0.9),
+    (r"under (?:the |a )?{named}", 0.9),
     (r"licen[cs]e (?:is )?{}", 0.7),
-    (r"(?:the )?{} licen[cs]e", 0.6),
+    (r"(?:the )?{named}", 0.6),
 ]
-#: Texts that are no family of their own: label, keyword, pattern.
+#: Texts that are no family of their own: label, keywords, pattern.
 TEXTS = [
     ("mit", "permission is hereby", "permission is hereby granted free of charge to any person obtaining a copy"),
     ("isc", "permission to use", "permission to use copy modify and or distribute this software for any purpose"),
@@ -109,13 +109,31 @@ ARROW = pa.schema(
 )
 
 
+def alternatives(name: str) -> list[str]:
+    """The outermost alternatives of a pattern."""
+    out, depth = [""], 0
+    for c in name:
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out
+
+
+def named(name: str) -> str:
+    """The name with "license" after it, or without when the name itself holds it."""
+    holding = [a.replace("(?: license)?", " license") for a in alternatives(name) if "licen" in a]
+    return "(?:" + "|".join([f"(?:{name}) licen[cs]e", *holding]) + ")"
+
+
 @lru_cache(maxsize=1)
 def rules() -> list[tuple[int, str, str, re.Pattern, float]]:
-    """(priority, keyword, label, pattern, weight), highest priority first."""
+    """(priority, keywords, label, pattern, weight), highest priority first."""
     out = []
     for form, (template, weight) in enumerate(FORMS):
         for order, (label, keyword, name) in enumerate(FAMILIES):
-            out.append((form * 1000 + order, keyword, label, re.compile(r"(?<![^ ])" + template.format(f"(?:{name})") + r"(?![^ ])"), weight))
+            out.append((form * 1000 + order, keyword, label, re.compile(r"(?<![^ ])" + template.format(f"(?:{name})", named=named(name)) + r"(?![^ ])"), weight))
     for order, (label, keyword, pattern) in enumerate(TEXTS):
         out.append((500 + order, keyword, label, re.compile(r"(?<![^ ])" + pattern + r"(?![^ ])"), 0.9))
     return sorted(out, key=lambda r: r[0])
@@ -126,7 +144,8 @@ def gate() -> ahocorasick.Automaton:
     automaton = ahocorasick.Automaton()
     by: dict[str, list[int]] = {}
     for i, rule in enumerate(rules()):
-        by.setdefault(rule[1], []).append(i)
+        for keyword in rule[1].split("|"):
+            by.setdefault(keyword, []).append(i)
     for keyword, at in by.items():
         automaton.add_word(keyword, at)
     automaton.make_automaton()

@@ -6,6 +6,7 @@ import json
 import random
 import re
 import zlib
+from types import SimpleNamespace
 
 import pytest
 
@@ -383,6 +384,61 @@ def test_licenses(docs, plain):
     assert licenses.resolve([(5, 0, 10, "a", 1.0), (9, 2, 8, "b", 1.0), (1, 9, 12, "c", 1.0)]) == [(1, 9, 12, "c", 1.0), (5, 0, 10, "a", 1.0)]
 
 
+def spelled(pattern):
+    """Every text that a pattern of names stands for."""
+    def of(node):
+        out = [""]
+        for op, arg in node:
+            op = str(op)
+            if op == "LITERAL":
+                own = [chr(arg)]
+            elif op == "IN":
+                own = [chr(v if str(k) == "LITERAL" else v[0]) for k, v in arg]
+            elif op == "BRANCH":
+                own = [x for branch in arg[1] for x in of(branch)]
+            elif op == "SUBPATTERN":
+                own = of(arg[3])
+            elif op == "MAX_REPEAT":
+                assert arg[:2] == (0, 1)
+                own = ["", *of(arg[2])]
+            else:
+                assert op == "ASSERT_NOT", op
+                own = [""]
+            out = [a + b for a in out for b in own]
+        return out
+
+    return of(re._parser.parse(pattern))
+
+
+def test_license_gate(monkeypatch):
+    """Gated and ungated scans agree for every alternative of every name in every form."""
+    texts, labels = [], []
+    for label, _, name in licenses.FAMILIES:
+        for x in spelled(name):
+            for form in ("SPDX-License-Identifier: {}", "Licensed under the {}", "Under the terms of the {} license", "under the {} license", "license is {}", "the {} license", "under the {}"):
+                texts.append(form.format(x))
+                labels.append(label if "license" in texts[-1].lower().replace("licensed", "") or "Licensed" in form or "licence" in x else None)
+    texts += [p for _, _, pattern in licenses.TEXTS for p in spelled(pattern)]
+    labels += [label for label, _, pattern in licenses.TEXTS for _ in spelled(pattern)]
+    gated = [licenses.scan_text(t) for t in texts]
+    assert all(w is None or g["n_hits"] for g, w in zip(gated, labels, strict=True))
+    monkeypatch.setattr(licenses, "MARKS", (b"",))
+    monkeypatch.setattr(licenses, "gate", lambda: SimpleNamespace(iter=lambda line: [(0, range(len(licenses.rules())))]))
+    assert [licenses.scan_text(t) for t in texts] == gated
+
+
+def test_license_names_that_hold_license():
+    of = lambda t: (licenses.scan_text(t)["labels"], licenses.scan_text(t)["score"])
+    assert of("Licensed under the ASL 2.0") == ("apache-2", 0.95) and of("Released under the Expat license") == ("mit", 0.95)
+    assert of("under the zero clause BSD license") == ("0bsd", 0.9) and of("under the PSF license version 2") == ("python-2", 0.9)
+    for name, label in (("General", "gpl"), ("Lesser General", "lgpl"), ("Affero General", "agpl")):
+        for version in (2, 3) if label != "agpl" else (3,):
+            assert of(f"you may use it under the GNU {name} Public License version {version}") == (f"{label}-{version}", 0.9)
+            assert of(f"see the GNU {name} Public License, version {version} for more") == (f"{label}-{version}", 0.6)
+    assert of("under the Mozilla Public License 2.0") == ("mpl-2", 0.9) and of("under the European Union Public Licence") == ("eupl", 0.9)
+    assert of("under the apache 2") == ("", 0.0) and of("under the gpl") == ("", 0.0)
+
+
 def cheapest(roles):
     """Cost of the best repair, by trying everything."""
     best = {chat_repair.START: 0}
