@@ -11,13 +11,14 @@ from .packing import op9_pack
 from .pii import op5_pii_spans
 from .quality_model import op8_quality_scores
 from .secret_scan import op1_secret_scan
-from .set_join import op3_jaccard_join
+from .set_join import op3_jaccard_join, op3_jaccard_links
 from .token_counts import op7_token_counts
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
     "op3_jaccard_join": op3_jaccard_join,
+    "op3_jaccard_links": op3_jaccard_links,
     "op4_chat_repair": op4_chat_repair,
     "op5_pii_spans": op5_pii_spans,
     "op6_host_rules": op6_host_rules,

@@ -20,8 +20,11 @@ skipped by size, by their places in the two sets, and by a parity bitmap whose H
 most the symmetric difference. What remains is verified on the full sets: first a forest of the closest pairs of
 each block pair, whose links join most of what belongs together, then every pair still between components.
 
+*Links.* Every link lies within a component. ``links`` therefore takes each component's full sets, dealt as
+pairs of blocks, and counts what every two of them share, so that each document has its number of links.
+
 Defined cases: null or empty texts and texts without words have the empty set, size 0, and
-are linked with nothing (component_id: their own doc_id); equal rows fall in one component; the same
+are linked with nothing (component_id: their own doc_id); equal rows fall in one component and are linked; the same
 doc_id with several texts is several sets; null doc_ids count as no candidate for the smallest
 id; an empty table gives an empty result; extra columns are ignored.
 """
@@ -45,6 +48,8 @@ from .components import components
 #: Of the frequent shingles kept for the order (16 bytes each); those beyond it are ordered by hash.
 MOST_FREQUENT = 65_536
 FREQUENT_FROM, BLOCK, LEADERS = 32, 256, 3
+#: Sets of a component that meet in one task (twice as many), and members looked at together, when links are counted.
+LINK_BLOCK, COLUMNS = 512, 8192
 #: Bits of a set's parity bitmap, by the size of the set; larger bitmaps fold onto smaller ones.
 WIDTHS = ((1024, 1024), (6_000, 4096), (float("inf"), 16_384))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -369,8 +374,8 @@ def candidates(entries: DataFrame, percent: int, first: bool) -> DataFrame:
     return entries.repartition(*keys).sortWithinPartitions(*keys, "n", "node").mapInArrow(run, "x long, y long").distinct()
 
 
-def classes(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, node (the set's identity, null if empty), root (the least node of its component), n_shingles, component_id."""
+def settled(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, text), rows (doc_id, node, n), and for each node its rep (least doc_id), root and component_id."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), common.utf8(text).alias("text"))
     every = cut(sketched(docs, size, percent, frequent(docs, size)))
     rows = cut(every.select("doc_id", "node", "n"))
@@ -413,7 +418,12 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "do
     ids = nodes.select("node", "rep")
     ids = ids.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = ids.groupBy("root").agg(F.min("rep").alias("component_id"))
-    ids = ids.join(least, "root").select("node", "root", "component_id")
+    return docs, rows, ids.join(least, "root").select("node", "rep", "root", "component_id")
+
+
+def classes(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, node (the set's identity, null if empty), root (the least node of its component), n_shingles, component_id."""
+    _, rows, ids = settled(docs, size, percent, doc_id, text)
     some, none = rows.where("n > 0").select("doc_id", "node", "n"), rows.where("n = 0")
     return (
         some.join(ids, "node")
@@ -422,6 +432,95 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "do
     )
 
 
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Each group of rows that have their keys in common; rows arrive sorted by keys."""
+    rest: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        key = np.stack([t.column(c).to_numpy() for c in keys])
+        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist(), len(t)]
+        if rest and any(rest[0].column(c)[0].as_py() != k for c, k in zip(keys, key[:, 0].tolist(), strict=True)):
+            yield pa.concat_tables(rest)
+            rest = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a:
+                yield pa.concat_tables(rest)
+                rest = []
+            rest.append(t.slice(a, b - a))
+    if rest:
+        yield pa.concat_tables(rest)
+
+
+def in_common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """[left, right]: how many members every two of the sets share."""
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, shared = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), times > 1  # others meet no second set
+    keep = shared[column]
+    row, column = row[keep], (np.cumsum(shared) - 1)[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out, width = np.zeros((len(left), len(right)), np.int64), int(shared.sum())
+    for c in range(0, width, COLUMNS):
+        a, b = np.searchsorted(column, [c, c + COLUMNS])
+        has = np.zeros((len(sets), min(COLUMNS, width - c)), np.float32)  # its counts are exact far beyond COLUMNS
+        has[row[a:b], column[a:b] - c] = 1
+        out += (has[left] @ has[right].T).astype(np.int64)
+    return out
+
+
+def links(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, n_links (the other rows within the threshold, each copy counted)."""
+    docs, rows, ids = settled(docs, size, percent, doc_id, text)
+    ids = cut(ids)
+    common.release(docs)
+    copies = rows.where("n > 0").groupBy("node").agg(F.count("*").alias("copies"))
+    need = ids.join(ids.groupBy("root").agg(F.count("*").alias("m")).where("m > 1"), "root").join(copies, "node").select("node", "rep", "root", "m", "copies")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in common.rows(batches, 512):
+            found = [shingles(t, size, known) for t in batch.column(3).to_pylist()]
+            same = [i for i, (f, n) in enumerate(zip(found, batch.column(0).to_pylist(), strict=True)) if node_of(f) == n]
+            rest = [batch.column(c).take(pa.array(same, pa.int64())) for c in (0, 1, 2, 4)]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array([found[i] for i in same], pa.list_(pa.int64()))], ["node", "root", "copies", "blocks", "members"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in grouped(batches, ["root", "lo", "hi"]):
+            node, first = np.unique(t.column("node").to_numpy(), return_index=True)  # repeated rows give a set again
+            own, times = t.column("own").to_numpy()[first], t.column("copies").to_numpy()[first]
+            t = t.select(["lo", "hi", "members"]).take(pa.array(first))
+            lo, hi = t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
+            left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+            if not len(left) or not len(right):
+                continue
+            members = [x.values.to_numpy() for x in t.column("members")]
+            n = np.array([len(x) for x in members])
+            share = in_common(members, left, right)
+            linked = (share * 100 >= percent * (n[left][:, None] + n[right] - share)) & (left[:, None] != right)
+            found = {"node": node[left], "links": linked @ times[right]}
+            if lo != hi:
+                found = {"node": np.concatenate([node[left], node[right]]), "links": np.concatenate([found["links"], times[left] @ linked])}
+            yield pa.RecordBatch.from_pydict(found)
+
+    blocks = F.ceil(F.col("m") / LINK_BLOCK).alias("blocks")
+    full = docs.join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "root", "copies", "text", blocks)
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = (
+        full.mapInArrow(sets, "node long, root long, copies long, blocks long, members array<long>")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "copies", "members")
+    )
+    keys = ["root", "lo", "hi"]
+    found = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(counted, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    about = ids.join(copies, "node").join(found, "node", "left").select("node", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    some = rows.where("n > 0").join(about, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    none = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    return some.unionByName(none)
+
+
 def with_nodes(docs: DataFrame, size: int, text: str, name: str) -> DataFrame:
     """The documents with their sets' identities in a further column."""
 
@@ -455,6 +554,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(common.table(spark, sf_dir, "documents")).drop("node", "root")
 
 
+def op3_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links(common.table(spark, sf_dir, "documents"))
+
+
 #: The same by brute force: all pairs that share a shingle, then reachability.
 ORACLE_SQL = r"""
 WITH RECURSIVE w AS (

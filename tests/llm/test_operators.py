@@ -242,6 +242,36 @@ def test_jaccard_many_near_copies(spark):
     assert rows(set_join.classes(df), "doc_id", "n_shingles", "component_id") == sorted(brute_sets(made), key=str)
 
 
+def brute_links(plain):
+    """Links of each row: the other rows whose set reaches the threshold."""
+    sets = []
+    for _, t in plain:
+        w = WORD.findall((t or "").translate(LOWER))
+        sets.append(frozenset(tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))) if w else frozenset())
+    counts = [sum(a != b and bool(x and y) and 100 * len(x & y) >= 85 * len(x | y) for b, y in enumerate(sets)) for a, x in enumerate(sets)]
+    return [(*row, n) for row, n in zip(brute_sets(plain), counts, strict=True)]
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_jaccard_links(spark, docs, plain, block, monkeypatch):
+    """All links are counted, also those within a group that is known already, copies and repeated rows included."""
+    monkeypatch.setattr(set_join, "LINK_BLOCK", block)
+    monkeypatch.setattr(set_join, "COLUMNS", 64)
+    r = random.Random(9)
+    made = [(i, t) for i, t in plain]
+    for g in range(3):
+        w = prose(100, 90 + g).split()
+        for k in range(25):
+            v = list(w)
+            for _ in range(r.choice([0, 0, 1, 2, 3, 5])):
+                v[r.randrange(len(v))] = r.choice(VOCAB)
+            made += [(1000 + 100 * g + k, " ".join(v))] * r.choice([1, 1, 2])
+    want = brute_links(made)
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    assert rows(set_join.links(df), "doc_id", "n_shingles", "component_id", "n_links") == sorted(want, key=str)
+    assert max(n for *_, n in want) > 10 and set_join.links(docs.limit(0)).count() == 0
+
+
 def test_jaccard_empty(docs):
     assert set_join.classes(docs.limit(0)).count() == 0 and set_join.one_of_each(docs.limit(0)).count() == 0
 
