@@ -347,6 +347,24 @@ def test_token_counts(docs, plain):
         assert len(t.encode(text[: p.fit(budget)], add_special_tokens=False).ids) <= budget
 
 
+def test_token_limit_within_a_chunk():
+    """Budgets are answered at every character, also in texts that are one long chunk."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    c, r = token_counts.Counter(vocabulary("word_bpe_49k.json")), random.Random(12)
+    some = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    texts = [some("漢字語文中国人日本学", 150), "a" * 120, some("ABCDabcd0123+/", 200), some("#=-*", 150), some("theandinger", 200), some("'relvsdtm", 200), "İstanbulſé" * 9, "e\u0301" * 20, "x<|endoftext|>yy", some("éü😀ß", 60)]
+    for x in [*texts, "two words " + texts[0] + " more", "\x1ca b\x1c" + texts[4] + " c"]:
+        lengths = [len(t.encode(x[:k], add_special_tokens=False).ids) for k in range(len(x) + 1)]
+        p = token_counts.Prefixes(x, c)
+        assert [p.at(k) for k in range(len(x) + 1)] == lengths, x
+        for budget in (0, 1, 2, 7, 20, 45, 10**6):
+            want = max(k for k, n in enumerate(lengths) if n <= budget)
+            assert p.fit(budget) == (len(x) if want == len(x) else len("".join(" " if token_counts.regex.match(r"\s", y) else y for y in x[:want]).rstrip(" "))), (x, budget)
+    assert p.fit(0) == 0 and token_counts.room("漢" * 30_000, [0, 10**5], 2048, c) > 0
+
+
 def test_quality_model(spark):
     r = [(i, prose(80, i), 1) for i in range(150)] + [(200 + i, " ".join(w + "###" for w in prose(60, i).split()), 0) for i in range(80)]
     d = spark.createDataFrame([(i, t) for i, t, _ in r] + [(900, None), (901, ""), (None, "x")], "doc_id long, text string")
