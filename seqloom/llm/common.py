@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,25 +23,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
+
+    Where that is unset, a folder of our own on a local master only; on a cluster other machines wouldn't see it.
+    """
+    context = spark.sparkContext
+    found = context.getCheckpointDir()
+    if found is None:
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+            found = tempfile.mkdtemp(prefix="seqloom-checkpoint-")
+            atexit.register(shutil.rmtree, found, ignore_errors=True)
+        context.setCheckpointDir(found)
+        found = context.getCheckpointDir()
+    return found
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files.
+    """Write ``df`` to the shared checkpoint folder and go on from the files, which outlive lost executors.
 
-    The folder is ``spark.checkpoint.dir`` of the session; a folder of our own is
-    set only where that is unset (local tests). Files on the shared folder outlive
-    lost executors, and Spark's cleaner drops them once nobody refers to them.
+    ``drop`` deletes them; those that a returned table still reads stay until the session's folder goes.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            folder = tempfile.mkdtemp(prefix="seqloom-checkpoint-")
-            atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder(df.sparkSession)
+    out = df.checkpoint(eager=True)
+    out._files = out._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+    return out
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``cut`` for wide tables: Parquet, which is compressed, in the same folder."""
+    path = f"{folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._files = path
+    return out
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete the files of tables made by ``cut`` or ``written`` that nothing reads any more."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df._files)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(df: DataFrame) -> None:
-    """Let Spark's cleaner drop the shuffle and checkpoint files of what nobody refers to any more.
+    """Let Spark's cleaner drop the shuffle files of what nobody refers to any more.
 
     The cleaner acts when the driver collects its garbage, by itself only every half hour.
     """
@@ -52,6 +84,14 @@ def utf8(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def free(columns: list[str], name: str) -> str:
+    """A column name like ``name`` that none of the columns has, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def rows(batches: Iterator[pa.RecordBatch], most: int = 2048) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``most`` rows, so that memory per batch stays bounded."""
     for batch in batches:

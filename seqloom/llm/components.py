@@ -1,15 +1,27 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
-Every step is two aggregations with partial sums and joins that Spark may split, so a
-node of very many edges meets in no single task; the number of steps grows with the logarithm of
-the longest chain. Nothing is collected but two numbers a step, to see the end.
+Edges point from the greater node to the less. A step re-links only what must move: nodes that are the
+lesser end of one edge and the greater end of another (large star), and nodes with several lesser
+neighbours (small star). Both tables come from partial aggregations and are broadcast when they are small,
+so a star of any size meets in no single task; beyond that size the joins are plain ones, whose large
+partitions Spark may split. When both are empty every edge points to its component's least node. The
+number of steps grows with the logarithm of the longest chain.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut
+from .common import cut, drop
+
+#: Rows (two longs each) of a table of nodes that is broadcast at most.
+MOST_BROADCAST = 200_000
+
+
+def small(nodes: DataFrame) -> tuple[DataFrame, int]:
+    """A table to join with, marked for broadcast if it is small, and its number of rows."""
+    n = nodes.count()
+    return (F.broadcast(nodes) if n <= MOST_BROADCAST else nodes), n
 
 
 def components(edges: DataFrame, most_steps: int = 60) -> DataFrame:
@@ -18,16 +30,24 @@ def components(edges: DataFrame, most_steps: int = 60) -> DataFrame:
     Nodes without an edge to another are not in the result.
     """
     edges = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
     for _ in range(most_steps):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v")
-        edges = cut(small.distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+        least = edges.groupBy("u").agg(F.min("v").alias("m"))
+        middle = cut(least.join(edges.select(F.col("v").alias("w")).distinct(), F.col("u") == F.col("w")).select("w", "m"))
+        other, moved = small(middle)
+        large = edges
+        if moved:
+            large = cut(edges.join(other, F.col("v") == F.col("w"), "left").select("u", F.coalesce("m", "v").alias("v")).distinct())
+            drop(edges)
+        several = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("x")).where("m < x").select(F.col("u").alias("w"), "m"))
+        other, split = small(several)
+        edges = large
+        if split:
+            met = large.join(other, F.col("u") == F.col("w"), "left").select("u", "v", F.coalesce("m", "v").alias("m"))
+            both = F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
+            edges = cut(met.select(both.alias("e")).select("e.u", "e.v").where("u <> v").distinct())
+            drop(large)
+        drop(middle, several)
+        if not moved and not split:
+            roots = edges.select("v").distinct()
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select(F.col("v").alias("node"), F.col("v").alias("root")))
     raise RuntimeError("the components did not settle")

@@ -1,97 +1,69 @@
-"""Exact Jaccard self-join of shingle sets, up to connected components, by set-relation skipping.
+"""Exact Jaccard self-join of shingle sets by set-relation skipping: components, and every set's number of links.
 
-A document's set holds its distinct word shingles (64-bit hashes, lower-cased A-Z; fewer
-words than a shingle: the whole sequence as one). Sets that are equal collapse into one node first.
+Sets hold the distinct word shingles of a document (``shingles``). A set is known by a 128-bit hash of all its
+members, shortened to 64 bits where that is unique in the corpus (checked; the few that clash get other
+numbers). Equal sets are one node with so many copies.
 
-*Index.* Shingles have one global order: plain ones by hash, the most frequent ones last. Two
-sets that reach the threshold share a shingle among the first ``n - ceil(t * n) + 1`` of each, so
-only those are indexed. The frequent ones come from a census of all texts; only the order depends
-on them, never the result, so their table may be bounded.
+*Index.* Shingles have one global order: plain ones by hash, the most frequent ones last (by a census of all
+texts; it only sets the order, never the result, so its table may be bounded). Two sets that reach the threshold
+share a shingle among the first ``n - ceil(t * n) + 1`` of each, so only those are indexed. Where they first
+meet, at places i and j, they can share no more than ``min(n - i, m - j)``.
 
-*Answers from similar sets.* In each index list the least node is the leader. Every
-node is verified against the leaders it shares most index entries with; verified links
-give first components. Within a component nothing is compared any more, and for two sets with the
-same leader the distances to it, already known, rule pairs out: the Jaccard distance is a metric, so
-``|d(x, r) - d(y, r)|`` over the threshold needs no look at x and y.
+*Block skipping.* An index list is in order of size and place. A list none of whose entries stands early
+enough for a partner, or entries without a neighbour of fitting size, go before anything is joined. Long lists are cut into
+blocks by size class and place; which pairs of blocks can hold a pair of sets is decided on the blocks' least and
+greatest sizes and places, before any row is dealt to them. In a task the same bounds skip tiles of 64 by 64 entries; what is
+left is held against parity bitmaps, whose Hamming distance is at most the symmetric difference.
 
-*Block skipping.* Only lists that still hold several components go on. They are dealt as pairs of blocks, so
-that no task holds a long list; in a block pair entries are in order of size, and whole ranges are
-skipped by size, by their places in the two sets, and by a parity bitmap whose Hamming distance is at
-most the symmetric difference. What remains is verified on the full sets: first a forest of the closest pairs of
-each block pair, whose links join most of what belongs together, then every pair still between components.
+*Answers from similar sets.* In each list the least node is the leader. Nodes are verified against the leaders they
+share most entries with; verified links give first components, and only lists that still hold several
+components go on. First a forest of the closest pairs of each block pair is verified, which joins most of what belongs
+together, then every pair still between components. Every link lies within a component, whose sets are near copies of
+each other: in each pair of blocks of a component one set's answers (what it shares with each of the others) are computed, and
+every other set's answers are derived from them by the members it has gained and lost, without a look at what both share.
 
-*Links.* Every link lies within a component. ``links`` therefore takes each component's full sets, dealt as
-pairs of blocks, and counts what every two of them share, so that each document has its number of links.
+No task meets a whole group: entries of frequent shingles, the sets verified against one leader and the
+sets of a component are all dealt in bounded portions, and the one set that they share goes with each portion.
 
 Defined cases: null or empty texts and texts without words have the empty set, size 0, and
 are linked with nothing (component_id: their own doc_id); equal rows fall in one component and are linked; the same
 doc_id with several texts is several sets; null doc_ids count as no candidate for the smallest
-id; an empty table gives an empty result; extra columns are ignored.
+id; ties between leaders go to the least node; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from . import common
-from .common import cut
-from .components import components
+from .common import cut, drop, written
+from .components import components, small
+from .shingles import Sets, mixed, pieces, sets
 
 #: Of the frequent shingles kept for the order (16 bytes each); those beyond it are ordered by hash.
-MOST_FREQUENT = 65_536
-FREQUENT_FROM, BLOCK, LEADERS = 32, 256, 3
-#: Sets of a component that meet in one task (twice as many), and members looked at together, when links are counted.
+MOST_FREQUENT, FREQUENT_FROM = 65_536, 32
+#: Entries of a frequent shingle's list, sets verified against one leader, and entries of a block, that meet in one task (about).
+PORTION, GROUP, BLOCK = 1024, 128, 256
+#: Leaders that a node is verified against, and the share of its index entries (one in so many) that it must have in common.
+LEADERS, SHARED = 3, 4
+#: Sets of a component's block, and members looked at together, when links are counted.
 LINK_BLOCK, COLUMNS = 512, 8192
+#: Side of a tile, parts of a set's indexed places, nodes that a task remembers to have indexed.
+TILE, PLACES, MOST_SEEN = 64, 8, 1_000_000
+#: Sets whose 64-bit hashes clash, at most (a few are expected at 10**10 sets).
+MOST_CLASHES = 10_000
 #: Bits of a set's parity bitmap, by the size of the set; larger bitmaps fold onto smaller ones.
 WIDTHS = ((1024, 1024), (6_000, 4096), (float("inf"), 16_384))
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
-
-class WordHashes(dict):
-    """64-bit hashes of words; remembers a bounded number."""
-
-    most = 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < self.most:
-            self[word] = value
-        return value
-
-
-def mixed(h: np.ndarray) -> np.ndarray:
-    """Finaliser of a 64-bit hash: every input bit reaches every output bit."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def shingles(text: str, size: int, known: WordHashes) -> np.ndarray:
-    """Sorted distinct shingle hashes (int64)."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z, and the six white spaces only
-    if not words:
-        return np.empty(0, np.int64)
-    ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    k = min(size, len(ids))
-    h = np.full(len(ids) - k + 1, k, np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(k):
-            h = h * _MULTIPLIER + ids[i : len(ids) - k + 1 + i]
-        h = mixed(h)
-    return np.unique(h.view(np.int64))
-
-
-def node_of(found: np.ndarray) -> int | None:
-    """A set's identity, from all of its members; None for the empty set."""
-    return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), signed=True) if len(found) else None
+Names = dict[tuple[int, int], int]
 
 
 def bitmap(found: np.ndarray) -> bytes:
@@ -111,202 +83,301 @@ def folded(bitmaps: list[bytes], width: int) -> np.ndarray:
     return out
 
 
-def near_enough(bitmaps_a: list[bytes], bitmaps_b: list[bytes], na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
-    """For each pair of rows: can the sets be within the threshold, as far as their bitmaps tell?"""
-    ok = np.ones(len(na), bool)
-    for most, width in zip((0, *(m for m, _ in WIDTHS[:-1])), (w for _, w in WIDTHS), strict=True):
-        at = np.flatnonzero(ok & (np.minimum(na, nb) > most))
-        if len(at):
-            x, y = folded([bitmaps_a[i] for i in at], width), folded([bitmaps_b[i] for i in at], width)
-            ok[at] = within_bound(np.bitwise_count(x ^ y).sum(1, dtype=np.int64), na[at], nb[at], percent)
-    return ok
-
-
-def stream_hashes(texts: list[str], size: int, known: WordHashes) -> np.ndarray:
-    """Hashes of all full shingles of a batch of texts, equal texts once, in one go over the stream of their words."""
-    words: list[bytes] = []
-    ends, seen = [], set()
-    for t in texts:
-        data = t.encode("utf-8", "surrogatepass").lower()
-        if (key := hash(data)) in seen:
-            continue
-        seen.add(key)
-        words += data.split()
-        ends.append(len(words))
-    if len(words) < size:
-        return np.empty(0, np.int64)
-    ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    h = np.full(len(ids) - size + 1, size, np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(size):
-            h = h * _MULTIPLIER + ids[i : len(ids) - size + 1 + i]
-        h = mixed(h)
-    inside = np.ones(len(h), bool)
-    for end in ends:  # shingles that reach over a text's end are none
-        inside[max(0, end - size + 1) : end] = False
-    return h[inside].view(np.int64)
-
-
-def census(docs: DataFrame, size: int) -> DataFrame:
-    """(shingle, n): how often shingles occur over all texts, for those found thrice in some batch of rows."""
+def nodes_of(found: Sets, names: Names) -> list[int | None]:
+    return [k and names.get(k, k[0]) for k in found.keys()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in common.rows(batches):
-            h = stream_hashes(batch.column(0).to_pylist(), size, known)
-            slots = (h >> 9) & ((1 << 22) - 1)
-            h = h[np.bincount(slots, minlength=1 << 22)[slots] >= 3]  # nothing else can occur thrice
-            values, counts = np.unique(h, return_counts=True)
-            often = counts >= 3
-            yield pa.RecordBatch.from_arrays([pa.array(values[often]), pa.array(counts[often].astype(np.int64))], ["shingle", "n"])
 
-    return docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+def indexed(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many members of a set of n are indexed."""
+    return n - (percent * n + 99) // 100 + 1
 
 
-def frequent(docs: DataFrame, size: int) -> np.ndarray:
-    """At most MOST_FREQUENT shingles, the most frequent last."""
-    top = census(docs, size).where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).toPandas()
-    return top["shingle"].to_numpy(np.int64)[::-1].copy()
+def indexed_of(n: str, percent: int) -> Column:
+    return F.col(n) - F.ceil(F.col(n) * percent / 100) + 1
 
 
-def sketched(docs: DataFrame, size: int, percent: int, common_last: np.ndarray) -> DataFrame:
-    """doc_id, node, n, prefix, bits of every row."""
-    order = np.argsort(common_last)
-    by_value = common_last[order]
+def survey(docs: DataFrame, size: int) -> DataFrame:
+    """Rows (doc_id, k1, k2, n) of all documents, and rows (shingle, times) of shingles found in three documents of some batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in common.rows(batches):
-            nodes, sizes, prefixes, bits = [], [], [], []
-            for t in batch.column(1).to_pylist():
-                found = shingles(t, size, known)
-                n = len(found)
-                keep = n - -(-percent * n // 100) + 1 if n else 0
-                if n and len(by_value):
-                    at = np.minimum(np.searchsorted(by_value, found), len(by_value) - 1)
-                    often = by_value[at] == found
-                    ranks = order[at[often]]
-                    ordered = np.concatenate([found[~often], found[often][np.argsort(ranks)]])
-                else:
-                    ordered = found
-                nodes.append(node_of(found))
-                sizes.append(n)
-                prefixes.append(ordered[:keep])
-                bits.append(bitmap(found) if n else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.binary())], ["doc_id", "node", "n", "prefix", "bits"])
+        for batch in pieces(batches, 1):
+            found = sets(batch.column(1), size)
+            keys, empty = found.keys(), pa.nulls(len(batch), pa.int64())
+            key = [pa.array([k and k[i] for k in keys], pa.int64()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *key, pa.array(found.sizes), empty, empty], names)
+            values = np.sort(found.values)
+            first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, np.int64)
+            times = np.diff(np.append(first, len(values)))
+            often = times >= 3
+            empty = pa.nulls(int(often.sum()), pa.int64())
+            yield pa.RecordBatch.from_arrays([empty, empty, empty, empty, pa.array(values[first[often]]), pa.array(times[often])], names)
+
+    names = ["doc_id", "k1", "k2", "n", "shingle", "times"]
+    return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+
+def frequent(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """At most MOST_FREQUENT shingles and their counts, the most frequent last."""
+    counts = seen.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times"))
+    top = counts.where(F.col("times") >= FREQUENT_FROM).orderBy(F.desc("times"), "shingle").limit(MOST_FREQUENT).toPandas()
+    return top["shingle"].to_numpy(np.int64)[::-1].copy(), top["times"].to_numpy(np.int64)[::-1].copy()
+
+
+def clashes(keys: DataFrame) -> Names:
+    """Other numbers for sets whose first 64 bits another set has, too; keys: distinct (k1, k2)."""
+    twice = keys.groupBy("k1").agg(F.count("*").alias("c"), F.min("k2").alias("least")).where("c > 1")
+    rows = keys.join(twice, "k1").where("k2 <> least").select("k1", "k2").orderBy("k1", "k2").limit(MOST_CLASHES + 1).collect()
+    if len(rows) > MOST_CLASHES:
+        raise RuntimeError("more clashing hashes than chance can give")
+    out: Names = {}
+    for step in range(1, 100):
+        open_ = [(r.k1, r.k2) for r in rows if (r.k1, r.k2) not in out]
+        if not open_:
+            break
+        wanted = {k: (k[0] + step * k[1] + 2**63) % 2**64 - 2**63 for k in open_}
+        taken = {r.k1 for r in keys.where(F.col("k1").isin(list(wanted.values()))).select("k1").collect()} | set(out.values())
+        for k, v in wanted.items():
+            if v not in taken:
+                out[k] = v
+                taken.add(v)
+    return out
+
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, prefix array<long>, bits binary")
+def named(rows: DataFrame, names: Names) -> DataFrame:
+    """k1 and k2 become node."""
+    node = F.col("k1")
+    for (a, b), v in names.items():
+        node = F.when((F.col("k1") == a) & (F.col("k2") == b), F.lit(v)).otherwise(node)
+    return rows.withColumn("node", node).drop("k1", "k2")
 
 
-def members_of(need: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(node, members): the full sets of the needed nodes, made again from the texts."""
-    need = need.distinct().join(nodes.select("node", "rep"), "node")
+def entries(docs: DataFrame, size: int, percent: int, often: tuple[np.ndarray, np.ndarray], names: Names) -> DataFrame:
+    """(token, part, whole, n, pos, node): index entries; lists of frequent shingles come in parts."""
+    order = np.argsort(often[0])
+    by_value, parts_of = often[0][order], -(-often[1] // PORTION)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in common.rows(batches, 512):
-            sets = [shingles(t, size, known) for t in batch.column(1).to_pylist()]
-            same = [i for i, (s, n) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if node_of(s) == n]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(same, pa.int64())), pa.array([sets[i] for i in same], pa.list_(pa.int64()))], ["node", "members"])
+        known: set[int] = set()
+        for batch in pieces(batches, 1):
+            found = sets(batch.column(1), size)
+            nodes = nodes_of(found, names)
+            new = np.zeros(len(nodes), bool)
+            for i, node in enumerate(nodes):
+                if node is not None and node not in known:
+                    new[i] = True
+                    known.add(node)
+            if len(known) > MOST_SEEN:
+                known.clear()
+            n = found.sizes[new]
+            node = np.array([x for x, k in zip(nodes, new.tolist(), strict=True) if k], np.int64)
+            values = found.values[np.repeat(new, found.sizes)]
+            doc = np.repeat(np.arange(len(n)), n)
+            rank = np.zeros(len(values), np.int64)
+            if len(by_value):
+                at = np.minimum(np.searchsorted(by_value, values), len(by_value) - 1)
+                hit = np.flatnonzero(by_value[at] == values)
+                rank[hit] = order[at[hit]] + 1
+                turn = np.argsort(doc * (len(by_value) + 1) + rank, kind="stable")
+                values, rank = values[turn], rank[turn]
+            pos = np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
+            keep = pos < indexed(n, percent)[doc]
+            values, rank, pos, doc = values[keep], rank[keep], pos[keep], doc[keep]
+            parts = np.concatenate([[1], parts_of])[rank]
+            with np.errstate(over="ignore"):
+                part = (mixed(node.view(np.uint64))[doc] >> np.uint64(1)).astype(np.int64) % parts
+            columns = [values, part.astype(np.int32), parts == 1, n[doc].astype(np.int32), pos.astype(np.int32), node[doc]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "part", "whole", "n", "pos", "node"])
+
+    return docs.mapInArrow(run, "token long, part int, whole boolean, n int, pos int, node long")
+
+
+def complete(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """Columns of runs of whole groups; rows arrive sorted by keys (longs)."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = [batch.column(c).to_numpy(zero_copy_only=False) for c in keys]
+        last = np.logical_and.reduce([k == k[-1] for k in key])
+        at = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+        if at or rest and any(rest[0].column(c)[0].as_py() != k[0] for c, k in zip(keys, key, strict=True)):
+            t = pa.Table.from_batches([*rest, batch.slice(0, at)])
+            yield {c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in t.column_names}
+            rest = []
+        rest.append(batch.slice(at))
+    if rest:
+        t = pa.Table.from_batches(rest)
+        yield {c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in t.column_names}
 
-    return cut(docs.join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text").mapInArrow(run, "node long, members array<long>"))
 
+def changes(*keys: np.ndarray) -> np.ndarray:
+    """Where a row's keys differ from those before it."""
+    out = np.ones(len(keys[0]), bool)
+    out[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return out
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (x, y) with the exact sizes: x, y, common, total."""
-    left, right = (sets.select(F.col("node").alias(k), F.col("members").alias(f"m{k}")) for k in "xy")
-    common_size = F.size(F.array_intersect("mx", "my"))
-    return cut(pairs.join(left, "x").join(right, "y").select("x", "y", common_size.alias("common"), (F.size("mx") + F.size("my") - common_size).alias("total")).distinct())
 
+def per_group(starts: np.ndarray, values: np.ndarray, reduce: np.ufunc) -> np.ndarray:
+    """Each row's group's reduced value."""
+    at = np.flatnonzero(starts)
+    return np.repeat(reduce.reduceat(values, at), np.diff(np.append(at, len(values)))) if len(values) else values
 
-def within_bound(hamming, nx, ny, percent: int):
-    """Can the symmetric difference be small enough, given that it is at least ``hamming``?"""
-    return hamming * (100 + percent) <= (100 - percent) * (nx + ny)
 
+def thinned(dealt: DataFrame, percent: int) -> DataFrame:
+    """(token, n, pos, node, leader): entries that can have a partner in their list; parts of lists stay as they are, without a leader.
 
-def by_leader(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(x, y): each node with the leaders that it shares most index entries with, unless their bitmaps rule it out."""
-    shared = lists.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("c"))
-    best = shared.withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), "leader"))).where(F.col("k") <= LEADERS)
-    a = nodes.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
-    b = nodes.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("bits").alias("by"))
-    pairs = best.select(F.col("node").alias("x"), F.col("leader").alias("y")).join(a, "x").join(b, "y").where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+    In order of size the neighbours fit best: if neither does, no set of the list does. The smaller set of a
+    pair stands early: at one of the places that an equal set could still be reached from.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = near_enough(batch.column(4).to_pylist(), batch.column(5).to_pylist(), batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent)
-            yield batch.select(["x", "y"]).filter(pa.array(ok))
+        for g in complete(batches, ["token", "part"]):
+            repeated = ~changes(g["token"], g["part"], g["node"])
+            g = {c: v[~repeated] for c, v in g.items()}
+            for _ in range(2):
+                starts = changes(g["token"], g["part"])
+                n = g["n"].astype(np.int64)
+                near = np.zeros(len(n), bool)
+                near[1:] = ~starts[1:] & (100 * n[:-1] >= percent * n[1:])
+                fits = near.copy()
+                fits[:-1] |= near[1:]
+                early = (n - g["pos"]) * (100 + percent) >= 2 * percent * n
+                keep = ~g["whole"] | fits & per_group(starts, early, np.logical_or)
+                g = {c: v[keep] for c, v in g.items()}
+            leader = per_group(changes(g["token"], g["part"]), g["node"], np.minimum)
+            columns = [g["token"], g["n"], g["pos"], g["node"]]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(leader, mask=~g["whole"])], ["token", "n", "pos", "node", "leader"])
+
+    keys = ["token", "part"]
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "n", "pos", "node").mapInArrow(run, "token long, n int, pos int, node long, leader long")
+
+
+def texts_of(need: DataFrame, docs: DataFrame, size: int, names: Names) -> DataFrame:
+    """(node, text, bits) of the needed nodes, each once; need: (node, rep)."""
 
-    return pairs.select("x", "y", "nx", "ny", "bx", "by").mapInArrow(run, "x long, y long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 1):
+            found = sets(batch.column(1), size)
+            at = [i for i, (a, b) in enumerate(zip(nodes_of(found, names), batch.column(0).to_pylist(), strict=True)) if a == b]
+            picked = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*picked.columns, pa.array([bitmap(found[i]) for i in at], pa.binary())], ["node", "text", "bits"])
+
+    out = written(docs.join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text").mapInArrow(run, "node long, text string, bits binary"))
+    if out.count() != need.count():  # repeated rows of one doc_id
+        out, again = written(out.dropDuplicates(["node"])), out
+        drop(again)
+    return out
 
 
-#: Lists up to this length are thinned by size in one sorted pass; longer ones go on as they are.
-LONGEST_SORTED = 4096
+def shared_with(base: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which members of ``own`` are in ``base``; both in order."""
+    return base[np.minimum(np.searchsorted(base, own), len(base) - 1)] == own
 
 
-def with_partner(lists: DataFrame, percent: int) -> DataFrame:
-    """Entries with a set of fitting size in their list.
+def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The (x, y) of the pairs that are linked, as edges (u, v). Sets meet y in portions, each with one copy of y's text."""
+    portions, _ = small(pairs.groupBy("y").agg(F.ceil(F.count("*") / GROUP).alias("portions")).where("portions > 1"))
+    dealt = pairs.join(portions, "y", "left").select("x", "y", F.pmod(F.xxhash64("x"), F.coalesce("portions", F.lit(1).cast("long"))).alias("part"))
+    text = texts.select(F.col("node").alias("x"), "text")
+    both = dealt.join(text, "x").unionByName(dealt.select("y", "part").distinct().withColumn("x", F.col("y")).join(text, "x"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = np.empty(0, np.int64)
+        for batch in pieces(batches, 2):
+            found = sets(batch.column(2), size)
+            x, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            linked = np.zeros(len(x), bool)
+            for i, first in enumerate((x == y).tolist()):
+                own = found[i]
+                if first:
+                    base = own.copy()
+                else:
+                    common_size = int(shared_with(base, own).sum())
+                    linked[i] = 100 * common_size >= percent * (len(base) + len(own) - common_size)
+            yield pa.RecordBatch.from_arrays([pa.array(x[linked]), pa.array(y[linked])], ["u", "v"])
+
+    keys = ["y", "part"]
+    rows = both.select("x", "y", "text", "part").repartition(*keys).sortWithinPartitions(*keys, F.col("x") != F.col("y"), "x")
+    return rows.mapInArrow(run, "u long, v long")
+
+
+def with_leaders(lists: DataFrame, percent: int) -> DataFrame:
+    """(x, y): each node with the leaders that it shares most index entries with."""
+    count = lists.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("c"), F.first("n").alias("n")).where(SHARED * F.col("c") >= indexed_of("n", percent))
+    best = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), "leader"))
+    return count.withColumn("k", best).where(F.col("k") <= LEADERS).select(F.col("node").alias("x"), F.col("leader").alias("y"))
 
-    In order of size the neighbours fit best: if neither does, no set of the list does.
-    """
-    w = Window.partitionBy("token").orderBy("n", "node")
-    below, above = F.lag("n").over(w), F.lead("n").over(w)
-    fits = F.coalesce(100 * below >= percent * F.col("n"), F.lit(False)) | F.coalesce(100 * F.col("n") >= percent * above, F.lit(False))
-    short = lists.where(F.col("m") <= LONGEST_SORTED).withColumn("_fits", fits).where("_fits").drop("_fits")
-    return short.unionByName(lists.where(F.col("m") > LONGEST_SORTED))
-
-
-ENTRY = ["token", "lo", "hi", "own", "node", "n", "pos", "comp", "leader", "d", "bits"]
-
-
-def block_pairs(mixed_lists: DataFrame) -> DataFrame:
-    """Entries dealt to every pair of blocks of their list that holds their own block."""
-    blocks = F.ceil(F.col("m") / BLOCK)
-    own = F.pmod(F.xxhash64("node"), blocks)
-    return (
-        mixed_lists.withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        .withColumn("lo", F.least("own", "other"))
-        .withColumn("hi", F.greatest("own", "other"))
-        .select(*ENTRY)
-    )
+
+def remaining(lists: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+    """Entries of the lists that still hold several components, with m, the entries of their list; the wide column comes last."""
+    roots = components(links).withColumnRenamed("root", "comp")
+    own = cut(lists.drop("leader").join(roots, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    several = own.groupBy("token").agg(F.count("*").alias("m"), F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token", "m")
+    return own.join(small(several)[0], "token").join(texts.select("node", "bits"), "node")
+
+
+ENTRY = ["token", "lo", "hi", "own", "node", "n", "pos", "comp", "bits"]
+
+
+def block_pairs(left: DataFrame, percent: int) -> DataFrame:
+    """Entries dealt to the pairs of blocks (lo, hi) of their list that sizes and places leave; ``own``: their own block."""
+    n, pos = F.col("n").cast("double"), F.col("pos").cast("double")
+    place = F.least(F.floor(pos * PLACES / indexed_of("n", percent)), F.lit(PLACES - 1))
+    cell = F.floor(F.log(n) / F.log(F.lit(100 / percent))) * PLACES + place
+    short, long = left.where(F.col("m") <= BLOCK), left.where(F.col("m") > BLOCK).withColumn("cell", cell)
+    cells = long.groupBy("token", "cell").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"), F.ceil(F.count("*") / BLOCK).alias("parts"))
+    cells = cut(cells)
+    blocks = cells.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).withColumn("block", F.col("cell") * 2**32 + F.col("part"))
+    a, b = (blocks.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("block", "least", "most", "rest"))) for k in "ab")
+    # sizes fit, and from the places reached so far enough members can still be shared
+    may = (F.col("block_a") <= F.col("block_b")) & (100 * F.col("most_a") >= percent * F.col("least_b")) & (F.least("rest_a", "rest_b") * (100 + percent) >= percent * (F.col("least_a") + F.col("least_b")))
+    pairs = a.join(b, "token").where(may).select("token", F.col("block_a").alias("lo"), F.col("block_b").alias("hi"))
+    to = pairs.select("token", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("own"), "lo", "hi")
+    parts, _ = small(cells.select("token", "cell", "parts"))
+    mine = long.join(parts, ["token", "cell"]).withColumn("own", F.col("cell") * 2**32 + F.pmod(F.xxhash64("node"), F.col("parts")))
+    nought = F.lit(0).cast("long")
+    return short.select("token", nought.alias("lo"), nought.alias("hi"), nought.alias("own"), *ENTRY[4:]).unionByName(mine.join(to, ["token", "own"]).select(*ENTRY))
 
 
 def pairs_in_block(g: dict, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Index pairs of one block pair, in order of size, that no bound rules out, and how close to the bound they are."""
-    n, m = g["n"], len(g["n"])
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    maps: dict[int, np.ndarray] = {}
-    apart = len({*g["own"].tolist()}) > 1 or bool(g["lo"][0] != g["hi"][0])
-    for a in range(0, m, 64):
-        b = min(a + 64, m)
-        end = int(np.searchsorted(n * percent, 100 * n[b - 1], "right"))  # sizes beyond are too large for all of these
-        i, j = np.nonzero(np.arange(a, b)[:, None] < np.arange(a, end)[None, :])
-        i, j = i + a, j + a
-        ok = (100 * n[i] >= percent * n[j]) & (g["comp"][i] != g["comp"][j])
-        if apart:
-            ok &= g["own"][i] != g["own"][j]
-        i, j = i[ok], j[ok]
-        pi, pj = g["pos"][i], g["pos"][j]
-        most = np.minimum(pi, pj) + 1 + np.minimum(n[i] - pi - 1, n[j] - pj - 1)
-        ok = most * (100 + percent) >= percent * (n[i] + n[j])
-        # both verified against one leader: the triangle inequality
-        ok &= ~((g["leader"][i] == g["leader"][j]) & (np.abs(g["d"][i] - g["d"][j]) > 1 - percent / 100 + 1e-9))
-        i, j = i[ok], j[ok]
-        share = np.zeros(len(i))
-        for most, width in zip((0, *(k for k, _ in WIDTHS[:-1])), (w for _, w in WIDTHS), strict=True):
-            if not len(i) or n[-1] <= most:
-                break
-            if width not in maps:
-                maps[width] = folded(g["bits"], width)
-            wide = n[i] > most  # i is the smaller one
-            apart_by = np.bitwise_count(maps[width][i[wide]] ^ maps[width][j[wide]]).sum(1, dtype=np.int64)
-            share[wide] = apart_by / (n[i[wide]] + n[j[wide]])
-            ok = np.ones(len(i), bool)
-            ok[wide] = within_bound(apart_by, n[i[wide]], n[j[wide]], percent)
-            i, j, share = i[ok], j[ok], share[ok]
-        out.append((i, j, share))
-    return tuple(np.concatenate([o[k] for o in out]) for k in range(3))
+    n, comp, rest = g["n"].astype(np.int64), g["comp"], g["n"].astype(np.int64) - g["pos"]
+    m = len(n)
+    tiles = np.arange(0, m, TILE)
+    longest, one, other = np.maximum.reduceat(rest, tiles), np.minimum.reduceat(comp, tiles), np.maximum.reduceat(comp, tiles)
+    apart = g["lo"][0] != g["hi"][0]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for s, a in enumerate(tiles.tolist()):
+        b = min(a + TILE, m)
+        for t in range(s, len(tiles)):
+            c, d = int(tiles[t]), min(int(tiles[t]) + TILE, m)
+            if percent * n[c] > 100 * n[b - 1]:
+                break  # all further sets are too large
+            if min(longest[s], longest[t]) * (100 + percent) < percent * (n[a] + n[c]) or one[s] == other[s] == one[t] == other[t]:
+                continue
+            ok = (percent * n[None, c:d] <= 100 * n[a:b, None]) & (comp[a:b, None] != comp[None, c:d])
+            ok &= np.minimum(rest[a:b, None], rest[None, c:d]) * (100 + percent) >= percent * (n[a:b, None] + n[None, c:d])
+            if s == t:
+                ok &= np.arange(a, b)[:, None] < np.arange(c, d)
+            if apart:
+                ok &= g["own"][a:b, None] != g["own"][None, c:d]
+            i, j = np.nonzero(ok)
+            found.append((i + a, j + c))
+    i, j = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in range(2))
+    share = np.zeros(len(i))
+    for most, width in zip((0, *(k for k, _ in WIDTHS[:-1])), (w for _, w in WIDTHS), strict=True):
+        if not len(i) or n[-1] <= most:
+            break
+        maps = folded(g["bits"], width)
+        ok = np.ones(len(i), bool)
+        for at in range(0, len(i), 1 << 16):  # bounds the memory of the bitmaps side by side
+            k = np.arange(at, min(at + (1 << 16), len(i)))
+            k = k[n[i[k]] > most]  # i is the smaller one
+            hamming = np.bitwise_count(maps[i[k]] ^ maps[j[k]]).sum(1, dtype=np.int64)
+            share[k] = hamming / (n[i[k]] + n[j[k]])
+            ok[k] = hamming * (100 + percent) <= (100 - percent) * (n[i[k]] + n[j[k]])
+        i, j, share = i[ok], j[ok], share[ok]
+    return i, j, share
 
 
 def forest(i: np.ndarray, j: np.ndarray, share: np.ndarray, comp: np.ndarray) -> np.ndarray:
@@ -328,233 +399,205 @@ def forest(i: np.ndarray, j: np.ndarray, share: np.ndarray, comp: np.ndarray) ->
     return np.array(kept, np.int64)
 
 
-def candidates(entries: DataFrame, percent: int, first: bool) -> DataFrame:
-    """(x, y) over all block pairs; entries arrive sorted by block pair and size.
-
-    ``first``: only a forest of each block pair, and (node, null) for every node that some pair holds. A list of
-    many near copies gives rows in proportion to its length; once their links are known, few pairs remain.
-    """
+def candidates(dealt: DataFrame, percent: int, first: bool) -> DataFrame:
+    """(x, y) over all block pairs; ``first``: only a forest of each. y is the one that more of a block's pairs hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-
-        def pairs(t: pa.Table) -> pa.RecordBatch:
-            g = {c: t.column(c).to_numpy() for c in ENTRY if c != "bits"}
-            bits = t.column("bits").to_pylist()
-            key = np.stack([g["token"], g["lo"], g["hi"]])
-            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist(), len(t)]
+        for g in complete(batches, ["token", "lo", "hi"]):
+            cuts = [*np.flatnonzero(changes(g["token"], g["lo"], g["hi"])).tolist(), len(g["token"])]
             found = set()
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if b - a > 1:
-                    i, j, share = pairs_in_block({c: v[a:b] for c, v in g.items()} | {"bits": bits[a:b]}, percent)
-                    node = g["node"][a:b]
+                    own = {c: v[a:b] for c, v in g.items()}
+                    i, j, share = pairs_in_block(own, percent)
                     if first and len(i):
-                        found.update((n, None) for n in node[np.unique(np.concatenate([i, j]))].tolist())
-                        trees = forest(i, j, share, g["comp"][a:b])
+                        trees = forest(i, j, share, own["comp"])
                         i, j = i[trees], j[trees]
-                    x, y = node[i], node[j]
-                    found.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True))
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["x", "y"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([rest, t]) if rest is not None else t
-            last = [t.column(c)[-1].as_py() for c in ("token", "lo", "hi")]
-            same = np.logical_and.reduce([t.column(c).to_numpy() == v for c, v in zip(("token", "lo", "hi"), last, strict=True)])
-            at = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            if at:
-                yield pairs(t.slice(0, at))
-            rest = t.slice(at)
-        if rest is not None and len(rest):
-            yield pairs(rest)
+                    held = np.bincount(np.concatenate([i, j]).astype(np.int64), minlength=b - a)
+                    turn = held[i] > held[j]
+                    x, y = own["node"][np.where(turn, j, i)], own["node"][np.where(turn, i, j)]
+                    found.update(zip(x.tolist(), y.tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in range(2)], ["x", "y"])
 
     keys = ["token", "lo", "hi"]
-    return entries.repartition(*keys).sortWithinPartitions(*keys, "n", "node").mapInArrow(run, "x long, y long").distinct()
-
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "n", "pos", "node").mapInArrow(run, "x long, y long").distinct()
 
-def settled(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id, text), rows (doc_id, node, n), and for each node its rep (least doc_id), root and component_id."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), common.utf8(text).alias("text"))
-    every = cut(sketched(docs, size, percent, frequent(docs, size)))
-    rows = cut(every.select("doc_id", "node", "n"))
-    nodes = cut(every.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
-    del every
-    common.release(docs)
-    index = nodes.select("node", F.posexplode("prefix").alias("pos", "token"))
-    lists = cut(index.join(index.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "token"))
-    nodes = cut(nodes.drop("prefix"))
-    del index
-    common.release(docs)
-    lists = with_partner(lists.join(nodes.select("node", "n"), "node"), percent)
-    lists = cut(lists.join(lists.groupBy("token").agg(F.min("node").alias("leader")), "token"))
-
-    linked = F.col("common") * 100 >= percent * F.col("total")
-    edges = lambda v: v.where(linked).select(F.col("x").alias("u"), F.col("y").alias("v"))
-    pairs = cut(by_leader(lists, nodes, percent))
-    known = verified(pairs, members_of(pairs.select(F.explode(F.array("x", "y")).alias("node")), nodes, docs, size))
-    links = edges(known)
-    common.release(docs)
 
-    nearest = known.groupBy("x").agg(F.max_by(F.struct("y", (1 - F.col("common") / F.col("total")).alias("d")), F.col("common") / F.col("total")).alias("k")).select(F.col("x").alias("node"), F.col("k.y").alias("leader"), F.col("k.d").alias("d"))
-    about = nodes.select("node", "bits").join(nearest, "node", "left").withColumns({"leader": F.coalesce("leader", "node"), "d": F.coalesce("d", F.lit(0.0))})
+@dataclass
+class Settled:
+    """docs (doc_id, text), rows (doc_id, node, n), nodes (node, rep, n, copies), comps (node, root) of nodes with a link, texts."""
 
-    def remaining(links: DataFrame) -> DataFrame:
-        """Entries of the lists that still hold several components; the wide columns come last."""
-        roots = components(links).withColumnRenamed("root", "comp")
-        own = lists.drop("leader").join(roots, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        several = own.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token")
-        return own.join(several, "token").join(about, "node")
+    docs: DataFrame
+    rows: DataFrame
+    nodes: DataFrame
+    comps: DataFrame
+    texts: DataFrame
+    names: Names
 
-    found = cut(candidates(block_pairs(remaining(links)), percent, True))
-    sets = members_of(found.where("y IS NULL").select(F.col("x").alias("node")), nodes, docs, size)
-    links = cut(links.unionByName(edges(verified(found.where("y IS NOT NULL"), sets))))
-    common.release(docs)
-    # what the forests' links leave apart is looked at pair by pair
-    rest = cut(candidates(block_pairs(remaining(links)), percent, False))
-    links = cut(links.unionByName(edges(verified(rest, sets))))
-    common.release(docs)
-    ids = nodes.select("node", "rep")
-    ids = ids.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = ids.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return docs, rows, ids.join(least, "root").select("node", "rep", "root", "component_id")
-
-
-def classes(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, node (the set's identity, null if empty), root (the least node of its component), n_shingles, component_id."""
-    _, rows, ids = settled(docs, size, percent, doc_id, text)
-    some, none = rows.where("n > 0").select("doc_id", "node", "n"), rows.where("n = 0")
-    return (
-        some.join(ids, "node")
-        .select("doc_id", "node", "root", F.col("n").alias("n_shingles"), "component_id")
-        .unionByName(none.select("doc_id", "node", F.col("node").alias("root"), F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
-    )
+    def about(self) -> DataFrame:
+        """Per node: node, root, component_id, rep, copies."""
+        linked = self.comps.join(self.nodes.select("node", "rep"), "node")
+        least, _ = small(linked.groupBy("root").agg(F.min("rep").alias("least")))
+        placed = self.comps.join(least, "root")
+        return self.nodes.join(placed, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("least")).alias("component_id"), "rep", "copies")
 
 
-def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Each group of rows that have their keys in common; rows arrive sorted by keys."""
-    rest: list[pa.Table] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        t = pa.Table.from_batches([batch])
-        key = np.stack([t.column(c).to_numpy() for c in keys])
-        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist(), len(t)]
-        if rest and any(rest[0].column(c)[0].as_py() != k for c, k in zip(keys, key[:, 0].tolist(), strict=True)):
-            yield pa.concat_tables(rest)
-            rest = []
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if a:
-                yield pa.concat_tables(rest)
-                rest = []
-            rest.append(t.slice(a, b - a))
-    if rest:
-        yield pa.concat_tables(rest)
+def settled(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) -> Settled:
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), common.utf8(text).alias("text"))
+    seen = cut(survey(docs, size))
+    of = seen.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    of = cut(of)
+    names = clashes(of.select("k1", "k2"))
+    nodes, rows = named(of, names), named(seen.where("n IS NOT NULL").select("doc_id", "k1", "k2", "n"), names)
 
+    lists = cut(thinned(entries(docs, size, percent, frequent(seen), names), percent))
+    common.release(docs)
+    # parts of lists hold frequent shingles only, so there are few of them
+    firsts = lists.where("leader IS NULL").groupBy("token").agg(F.min("node").alias("least"))
+    led = lists.join(F.broadcast(firsts), "token", "left").withColumn("leader", F.coalesce("leader", "least")).drop("least")
+    texts = texts_of(lists.select("node").distinct().join(nodes.select("node", "rep"), "node"), docs, size, names)
+    common.release(docs)
 
-def in_common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """[left, right]: how many members every two of the sets share."""
-    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row, shared = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), times > 1  # others meet no second set
+    pairs = cut(with_leaders(led, percent))
+    links = cut(verified(pairs, texts, size, percent))
+    drop(pairs)
+    for first in (True, False):  # what the forests' links leave apart is looked at pair by pair
+        pairs = cut(candidates(block_pairs(remaining(lists, links, texts), percent), percent, first))
+        links, before = cut(links.unionByName(verified(pairs, texts, size, percent))), links
+        drop(pairs, before)
+        common.release(docs)
+    comps = components(links)
+    drop(lists, links)
+    return Settled(docs, rows, nodes, comps, texts, names)
+
+
+def in_common(lists: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """[left, right]: how many values every two of the lists share."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    values, column, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    row, shared = np.repeat(np.arange(len(lists)), [len(x) for x in lists]), times > 1  # others meet no second list
     keep = shared[column]
     row, column = row[keep], (np.cumsum(shared) - 1)[column[keep]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    out, width = np.zeros((len(left), len(right)), np.int64), int(shared.sum())
+    width = int(shared.sum())
     for c in range(0, width, COLUMNS):
         a, b = np.searchsorted(column, [c, c + COLUMNS])
-        has = np.zeros((len(sets), min(COLUMNS, width - c)), np.float32)  # its counts are exact far beyond COLUMNS
+        has = np.zeros((len(lists), min(COLUMNS, width - c)), np.float32)  # its counts are exact far beyond COLUMNS
         has[row[a:b], column[a:b] - c] = 1
         out += (has[left] @ has[right].T).astype(np.int64)
     return out
 
 
-def links(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, n_links (the other rows within the threshold, each copy counted)."""
-    docs, rows, ids = settled(docs, size, percent, doc_id, text)
-    ids = cut(ids)
-    common.release(docs)
-    copies = rows.where("n > 0").groupBy("node").agg(F.count("*").alias("copies"))
-    need = ids.join(ids.groupBy("root").agg(F.count("*").alias("m")).where("m > 1"), "root").join(copies, "node").select("node", "rep", "root", "m", "copies")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in common.rows(batches, 512):
-            found = [shingles(t, size, known) for t in batch.column(3).to_pylist()]
-            same = [i for i, (f, n) in enumerate(zip(found, batch.column(0).to_pylist(), strict=True)) if node_of(f) == n]
-            rest = [batch.column(c).take(pa.array(same, pa.int64())) for c in (0, 1, 2, 4)]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array([found[i] for i in same], pa.list_(pa.int64()))], ["node", "root", "copies", "blocks", "members"])
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in grouped(batches, ["root", "lo", "hi"]):
-            node, first = np.unique(t.column("node").to_numpy(), return_index=True)  # repeated rows give a set again
-            own, times = t.column("own").to_numpy()[first], t.column("copies").to_numpy()[first]
-            t = t.select(["lo", "hi", "members"]).take(pa.array(first))
-            lo, hi = t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
-            left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
-            if not len(left) or not len(right):
-                continue
-            members = [x.values.to_numpy() for x in t.column("members")]
-            n = np.array([len(x) for x in members])
-            share = in_common(members, left, right)
-            linked = (share * 100 >= percent * (n[left][:, None] + n[right] - share)) & (left[:, None] != right)
-            found = {"node": node[left], "links": linked @ times[right]}
-            if lo != hi:
-                found = {"node": np.concatenate([node[left], node[right]]), "links": np.concatenate([found["links"], times[left] @ linked])}
-            yield pa.RecordBatch.from_pydict(found)
-
-    blocks = F.ceil(F.col("m") / LINK_BLOCK).alias("blocks")
-    full = docs.join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "root", "copies", "text", blocks)
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+def answers(members: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """[left, right]: members that every two sets share, derived from what the first set shares with each.
+
+    With ``gained`` and ``lost`` against the first set r: x and y share |x & r| + |y & r| - |r| members of r, and those of r that
+    both have lost, counted twice by that, and what both have gained.
+    """
+    base = members[0]
+    gained, lost, near = [], [], np.empty(len(members), np.int64)
+    for k, own in enumerate(members):
+        hit = shared_with(base, own)
+        near[k] = hit.sum()
+        gained.append(own[~hit])
+        missing = np.ones(len(base), bool)
+        missing[np.searchsorted(base, own[hit])] = False
+        lost.append(np.flatnonzero(missing))
+    return near[left][:, None] + near[right] - len(base) + in_common(lost, left, right) + in_common(gained, left, right)
+
+
+def link_counts(found: Settled, size: int, percent: int) -> DataFrame:
+    """(node, links): documents of other nodes within the threshold, for nodes of components."""
+    sizes = found.comps.groupBy("root").agg(F.count("*").alias("m")).where(F.col("m") > LINK_BLOCK).select("root", F.ceil(F.col("m") / LINK_BLOCK).alias("blocks"))
+    one = F.lit(1).cast("long")
+    placed = found.comps.join(small(sizes)[0], "root", "left").withColumn("blocks", F.coalesce("blocks", one))
+    full = placed.join(found.nodes.select("node", "copies"), "node").join(found.texts.select("node", "text"), "node")
     dealt = (
-        full.mapInArrow(sets, "node long, root long, copies long, blocks long, members array<long>")
-        .withColumn("own", own)
+        full.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "copies", "members")
+        .select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "copies", "text")
     )
-    keys = ["root", "lo", "hi"]
-    found = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(counted, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
-    about = ids.join(copies, "node").join(found, "node", "left").select("node", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    some = rows.where("n > 0").join(about, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
-    none = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    return some.unionByName(none)
 
-
-def with_nodes(docs: DataFrame, size: int, text: str, name: str) -> DataFrame:
-    """The documents with their sets' identities in a further column."""
+    def counted(own: np.ndarray, node: np.ndarray, copies: np.ndarray, members: list[np.ndarray], lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+        n = np.array([len(x) for x in members])
+        share = answers(members, left, right)
+        linked = (share * 100 >= percent * (n[left][:, None] + n[right] - share)) & (left[:, None] != right)
+        if lo == hi:
+            return node[left], linked @ copies[right]
+        return np.concatenate([node[left], node[right]]), np.concatenate([linked @ copies[right], copies[left] @ linked])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in common.rows(batches):
-            nodes = [node_of(shingles(t or "", size, known)) for t in batch.column(text).to_pylist()]
-            yield batch.append_column(name, pa.array(nodes, pa.int64()))
+        held: list[tuple] = []  # (group, own, node, copies, members) of the group that is not yet at its end
+
+        def closed(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+            return counted(*(np.array([r[k] for r in rows]) for k in (1, 2, 3)), [r[4] for r in rows], *rows[0][0][1:])
+
+        for batch in pieces(batches, 6):
+            members = sets(batch.column(6), size)
+            key, own, node, copies = zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True), *(batch.column(c).to_pylist() for c in (3, 4, 5))
+            out = []
+            for i, group in enumerate(key):
+                if held and held[0][0] != group:
+                    out.append(closed(held))
+                    held = []
+                held.append((group, own[i], node[i], copies[i], members[i].copy()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in range(2)], ["node", "links"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in closed(held)], ["node", "links"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+    keys = ["root", "lo", "hi"]
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def links(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, n_links (the other rows within the threshold, each copy counted)."""
+    found = settled(docs, size, percent, doc_id, text)
+    counts = cut(link_counts(found, size, percent))
+    drop(found.texts)
+    about = cut(found.about().join(counts, "node", "left").select("node", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+    common.release(docs)
+    some = found.rows.where("n > 0").join(about, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    none = found.rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    return some.unionByName(none)
 
 
 def one_of_each(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, all columns kept, but of each component only the row of the smallest doc_id.
 
-    Of repeated rows of that doc_id one stays; documents without words all stay.
+    Of repeated rows of that doc_id one stays; documents without words all stay; an empty table stays empty; columns may have any names.
     """
-    found = classes(docs, size, percent, doc_id, text).where("node IS NOT NULL AND doc_id <=> component_id")
-    stay = found.groupBy("root").agg(F.min("node").alias("_stay"), F.min("doc_id").alias("_id"))
-    rows = found.groupBy("root", "node").agg(F.count("*").alias("_rows"))
-    stay = stay.join(rows.withColumnRenamed("node", "_stay"), ["root", "_stay"]).drop("root")
-    blank = F.coalesce(F.btrim(F.col(text), F.lit(" \t\n\x0b\f\r")), F.lit("")) == ""
-    marked = with_nodes(docs.where(~blank), size, text, "_node")
-    kept = marked.join(stay, (F.col("_node") == F.col("_stay")) & F.col(doc_id).cast("long").eqNullSafe(F.col("_id")))
+    found = settled(docs, size, percent, doc_id, text)
+    drop(found.texts)
+    node, id_, rows_ = (common.free(docs.columns, c) for c in ("node", "id", "rows"))
+    reps = found.about().where("rep <=> component_id").groupBy("root").agg(F.min("node").alias("node"), F.min("component_id").alias("rep"))
+    # how many rows have that set and that doc_id
+    same = found.rows.join(reps.select("node", "rep"), (found.rows["node"] == reps["node"]) & found.rows["doc_id"].eqNullSafe(reps["rep"])).groupBy(reps["node"]).agg(F.first("rep").alias(id_), F.count("*").alias(rows_))
+    stay = cut(same.withColumnRenamed("node", common.free(docs.columns, "kept")))
+    kept = stay.columns[0]
+    marked = with_nodes(docs, size, text, node, found.names)
+    joined = marked.join(stay, (F.col(node) == F.col(kept)) & F.col(doc_id).cast("long").eqNullSafe(F.col(id_)), "left")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    again = kept.where("_rows > 1").dropDuplicates(["_node"])
-    return kept.where("_rows = 1").select(*columns).unionByName(again.select(*columns)).unionByName(docs.where(blank))
+    out = joined.where(F.col(node).isNull() | (F.col(rows_) == 1)).select(*columns)
+    if stay.where(F.col(rows_) > 1).isEmpty():
+        return out
+    return out.unionByName(joined.where(F.col(rows_) > 1).dropDuplicates([node]).select(*columns))
 
 
-def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classes(common.table(spark, sf_dir, "documents")).drop("node", "root")
+def with_nodes(docs: DataFrame, size: int, text: str, name: str, names: Names) -> DataFrame:
+    """The documents with their sets' nodes in a further column."""
+    at = docs.columns.index(text)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, at):
+            yield batch.append_column(name, pa.array(nodes_of(sets(pc.fill_null(batch.column(at), ""), size), names), pa.int64()))
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
-def op3_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links(common.table(spark, sf_dir, "documents"))
 
 
@@ -569,6 +612,7 @@ WITH RECURSIVE w AS (
 l AS MATERIALIZED (
   SELECT p.x, p.y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM e a JOIN e b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2) p
   JOIN z zx ON zx.doc_id = p.x JOIN z zy ON zy.doc_id = p.y WHERE 100 * p.c >= 85 * (zx.n + zy.n - p.c)
-), r AS (SELECT doc_id AS x, doc_id AS y FROM z UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
-SELECT z.doc_id, z.n AS n_shingles, (SELECT min(r.y) FROM r WHERE r.x = z.doc_id) AS component_id FROM z
+), r AS (SELECT doc_id AS x, doc_id AS y FROM z UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+k AS (SELECT x, count(*)::BIGINT AS n FROM l GROUP BY x)
+SELECT z.doc_id, z.n AS n_shingles, (SELECT min(r.y) FROM r WHERE r.x = z.doc_id) AS component_id, coalesce(k.n, 0)::BIGINT AS n_links FROM z LEFT JOIN k ON k.x = z.doc_id
 """

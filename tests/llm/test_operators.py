@@ -219,7 +219,7 @@ def brute_sets(plain):
 
 def test_jaccard(docs, plain):
     want = brute_sets(plain)
-    assert rows(set_join.classes(docs), "doc_id", "n_shingles", "component_id") == sorted(want, key=str)
+    assert rows(set_join.links(docs), "doc_id", "n_shingles", "component_id") == sorted(want, key=str)
     kept = set_join.one_of_each(docs)
     assert kept.columns == docs.columns
     words = [(i, n, c) for i, n, c in want if n]
@@ -239,7 +239,7 @@ def test_jaccard_many_near_copies(spark):
         made.append((k, " ".join(v)))
     made += [(100 + k, prose(r.randint(5, 90), 500 + k) + " " + passage) for k in range(40)]
     df = spark.createDataFrame(made, "doc_id long, text string")
-    assert rows(set_join.classes(df), "doc_id", "n_shingles", "component_id") == sorted(brute_sets(made), key=str)
+    assert rows(set_join.links(df), "doc_id", "n_shingles", "component_id") == sorted(brute_sets(made), key=str)
 
 
 def brute_links(plain):
@@ -273,7 +273,7 @@ def test_jaccard_links(spark, docs, plain, block, monkeypatch):
 
 
 def test_jaccard_empty(docs):
-    assert set_join.classes(docs.limit(0)).count() == 0 and set_join.one_of_each(docs.limit(0)).count() == 0
+    assert set_join.links(docs.limit(0)).count() == 0 and set_join.one_of_each(docs.limit(0)).count() == 0
 
 
 def base_pii(t):
