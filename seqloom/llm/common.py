@@ -8,7 +8,8 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import pyarrow as pa
@@ -50,6 +51,7 @@ def cut(df: DataFrame) -> DataFrame:
     folder(df.sparkSession)
     out = df.checkpoint(eager=True)
     out._files = out._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+    _made.append(out._files)
     return out
 
 
@@ -59,15 +61,40 @@ def written(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._files = path
+    _made.append(path)
     return out
 
 
 def drop(*frames: DataFrame) -> None:
     """Delete the files of tables made by ``cut`` or ``written`` that nothing reads any more."""
     for df in frames:
-        context = df.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(df._files)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, df._files)
+
+
+def _delete(spark: SparkSession, file: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(file)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Files of the tables made so far, in order.
+_made: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """At its end all tables made within it are deleted but those handed to the function it gives."""
+    begin, kept = len(_made), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._files)
+        return df
+
+    yield keep
+    for file in _made[begin:]:
+        if file not in kept:
+            _delete(spark, file)
+    _made[begin:] = [f for f in _made[begin:] if f in kept]
 
 
 def release(df: DataFrame) -> None:

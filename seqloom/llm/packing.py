@@ -7,11 +7,11 @@ The open bins are a bitset keyed by free space (one Python integer, the lowest s
 need is the best fit); their number is fixed, and when a further one is needed the fullest closes.
 
 Each partition packs on its own as it reads, so there is no shuffle of texts and memory is that
-of the open bins. What is still open when a partition ends is packed again, as blocks, in
-later passes over ever fewer, larger groups; these move a few numbers per bin only.
+of the open bins. What is still open when a partition ends is packed once more, as blocks, in
+larger groups; that moves a few numbers per bin only.
 
 Defined cases: null or empty text: the end id alone; repeated rows are packed each; an empty table
-gives an empty result; very long texts give as many full pieces as they need; extra columns are ignored.
+gives an empty result; very long texts give as many full pieces as they need; among bins of equal free space the latest takes a piece; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ take linear time and no deep recursion.
 
 Defined cases: null or empty text: no spans, the digest of the empty string; repeated rows repeat; an
 empty table gives an empty result (both models stay at their priors); extra columns are ignored. Offsets are
-code points, end exclusive.
+code points, end exclusive; spans that begin alike come in order of kind. A text of very many matches takes time in
+proportion to them.
 """
 
 from __future__ import annotations
@@ -54,6 +55,10 @@ GAZETTEER = {
     "person": "(?i) (?:smith|johnson|williams|brown|jones|garcia|miller|davis|martin|muller|schmidt|schneider|fischer|weber|dubois|bernard|thomas|robert|petit|gonzalez|rodriguez|fernandez|lopez|martinez|sanchez)$",
 }
 ACCEPT, CONTEXT, EM_STEPS, FIT_STEPS = 0.9, 24, 50, 300
+#: Matches of a text that are worked on as one block.
+BLOCK = 256
+#: A text without any of these holds no match of the kind.
+MARKS = {"email": ("@",), "phone": ("+",), "ssn": ("-",), "ip": (".",), "person": ("Mr", "Ms", "Dr", "Prof")}
 
 
 def marked_parts(text: Column, pattern: str) -> Column:
@@ -62,19 +67,29 @@ def marked_parts(text: Column, pattern: str) -> Column:
 
 
 def spans_of(parts: Column) -> Column:
-    """array<struct<start, end, s, before>> from marked parts; null parts give null."""
-    kind = "array<struct<start:int,end:int,s:string,before:string>>"
+    """array<struct<start, end, s, before, after>> from marked parts; null parts give null.
+
+    Offsets are running sums; they are worked out by blocks of parts, as an array that grows by one at a time is copied each time.
+    """
+    kind = "array<struct<start:int,end:int,s:string,before:string,after:string>>"
     first = F.element_at(parts, 1)
+    block = lambda b: F.slice(parts, 2 + BLOCK * b, BLOCK)
+    sums = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 2) / BLOCK).cast("int")), lambda b: F.aggregate(block(b), F.lit(0), lambda a, p: a + F.length(p) - 1))
+    begin = F.struct(F.length(first).alias("off"), F.array().cast("array<int>").alias("out"))
+    offsets = F.aggregate(sums, begin, lambda a, n: F.struct((a["off"] + n).alias("off"), F.concat(a["out"], F.array(a["off"])).alias("out")), lambda a: a["out"])
 
     def step(a: Column, p: Column) -> Column:
         s = F.substring_index(p, "\x02", 1)
-        start, end = a["off"], a["off"] + F.length(s)
+        end = a["off"] + F.length(s)
         rest = F.substring(p, F.length(s) + 2, F.length(p))
-        span = F.struct(start.alias("start"), end.alias("end"), s.alias("s"), a["before"].alias("before"))
+        span = F.struct(a["off"].alias("start"), end.alias("end"), s.alias("s"), a["before"].alias("before"), F.left(rest, F.lit(CONTEXT)).alias("after"))
         return F.struct((end + F.length(rest)).alias("off"), F.right(rest, F.lit(CONTEXT)).alias("before"), F.concat(a["out"], F.array(span)).alias("out"))
 
-    zero = F.struct(F.length(first).alias("off"), F.right(first, F.lit(CONTEXT)).alias("before"), F.array().cast(kind).alias("out"))
-    return F.when(F.size(parts) > 1, F.aggregate(F.slice(parts, 2, F.size(parts)), zero, step, lambda a: a["out"])).otherwise(F.array().cast(kind))
+    def spans_in(off: Column, b: Column) -> Column:
+        before = F.right(F.substring_index(F.element_at(parts, 1 + BLOCK * b), "\x02", -1), F.lit(CONTEXT))
+        return F.aggregate(block(b), F.struct(off.alias("off"), before.alias("before"), F.array().cast(kind).alias("out")), step, lambda a: a["out"])
+
+    return F.when(F.size(parts) > 1, F.flatten(F.transform(offsets, spans_in))).otherwise(F.array().cast(kind))
 
 
 def digits(s: Column) -> Column:
@@ -139,10 +154,13 @@ def features(kind: str, x: Column) -> Column:
         F.when(x["before"].rlike(FOR_WORDS), "for").when(x["before"].rlike(AGAINST_WORDS), "against").otherwise("none").alias("words"),
         F.when(x["s"].rlike(GAZETTEER[kind]), "known").otherwise("unknown").alias("listed"),
         F.when(iban_ok(x["s"]) if kind == "iban" else F.lit(True), "sound").otherwise("unsound").alias("check"),
+        F.when(x["after"] == "", "end").when(x["after"].rlike(r"^[.,;!?)]"), "stop").when(x["after"].rlike(r"^\s"), "blank").otherwise("other").alias("right"),
+        F.when(x["after"].rlike(r"^[.,;]?\s[a-z]"), "small").when(x["after"].rlike(r"^[.,;]?\s[A-Z]"), "capital").when(x["after"].rlike(r"^[.,;]?\s[0-9]"), "digit").otherwise("none").alias("next"),
+        F.when(10 * F.length(digits(x["s"])) < 2 * n, "few").when(10 * F.length(digits(x["s"])) < 7 * n, "some").otherwise("most").alias("digits"),
     )
 
 
-FEATURES = ("kind", "length", "left", "words", "listed", "check")
+FEATURES = ("kind", "length", "left", "words", "listed", "check", "right", "next", "digits")
 
 
 def reliabilities(counts: dict[tuple[int, ...], int]) -> tuple[float, dict[tuple[int, ...], float]]:
@@ -215,7 +233,13 @@ def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     """One row per document: counts, digest and text of its spans."""
     t = F.translate(common.utf8(text), "\x01\x02", "\x03\x03")
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), t.alias("_t"))
-    d = d.select("doc_id", *(marked_parts(F.col("_t"), PATTERNS[k]).alias(k) for k in (*BASE, *ADDED)))
+
+    def parts(kind: str) -> Column:
+        found = marked_parts(F.col("_t"), PATTERNS[kind])
+        marks = [F.contains(F.col("_t"), F.lit(m)) for m in MARKS.get(kind, ())]
+        return F.when(reduce(lambda a, b: a | b, marks), found).otherwise(F.array(F.lit(""))) if marks else found
+
+    d = d.select("doc_id", *(parts(k).alias(k) for k in (*BASE, *ADDED)))
     d = d.select("doc_id", *(spans_of(F.col(k)).alias(k) for k in (*BASE, *ADDED)))
     thin = [those(k, lambda k, x: valid(k, x["s"])).alias(k) for k in BASE]
     found = cut(d.select("doc_id", *thin, *(each(k, lambda k, x: F.struct(x["start"].alias("start"), x["end"].alias("end"), votes(k, x).alias("votes"), features(k, x).alias("features"))).alias(k) for k in ADDED)))
@@ -233,9 +257,14 @@ def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         rows += [(tuple(r[f"f_{x}"] for x in FEATURES), float(r["count"]), post[tuple(r[f"v_{x}"] for x in LABELERS)]) for r in own]
     weights = fitted(rows) if rows else {}
 
-    base_all = F.concat(*(F.transform(k, lambda x: F.struct(x["start"].alias("a"), x["end"].alias("b"))) for k in BASE))
-    f = found.withColumn("_base", base_all)
-    free = lambda x: ~F.exists("_base", lambda b: (b["a"] < x["end"]) & (x["start"] < b["b"]))
+    # base spans in order of start, by blocks with their reach, so that a candidate looks into few of them
+    base_all = F.array_sort(F.concat(*(F.transform(k, lambda x: F.struct(x["start"].alias("a"), x["end"].alias("b"))) for k in BASE)))
+    f = found.withColumn("_all", base_all)
+    one = lambda i: F.slice("_all", 1 + BLOCK * i, BLOCK)
+    reach = lambda i: F.struct(F.element_at("_all", 1 + BLOCK * i)["a"].alias("a"), F.array_max(F.transform(one(i), lambda b: b["b"])).alias("b"), one(i).alias("all"))
+    f = f.withColumn("_base", F.when(F.size("_all") > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size("_all") - 1) / BLOCK).cast("int")), reach)))
+    meets = lambda b, x: (b["a"] < x["end"]) & (x["start"] < b["b"])
+    free = lambda x: ~F.coalesce(F.exists("_base", lambda k: meets(k, x) & F.exists(k["all"], lambda b: meets(b, x))), F.lit(False))
     added = {k: those(k, lambda k, x: (score(weights, x["features"]) >= ACCEPT) & free(x)) if weights else F.slice(k, 1, 0) for k in ADDED}
     f = f.select("doc_id", *BASE, *(v.alias(k) for k, v in added.items()))
     base_text = F.concat(*(each(k, text_of) for k in BASE))

@@ -11,7 +11,7 @@ Every document is scored.
 
 Defined cases: null or empty text: statistics 0, scored like any other; doc_ids without a label, or
 labels without a document or a quality, don't train; with no training row, or one class only, the score
-is the smoothed share of positives; null doc_ids are not held out; repeated rows repeat; an empty
+is the smoothed share of positives; null doc_ids are not held out; repeated rows repeat (one trains); of equally good splits the first goes; an empty
 table gives an empty result; extra columns are ignored.
 """
 
@@ -151,7 +151,7 @@ def held_out():
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """Statistics and labels of the bounded training sample, in a fixed order."""
-    chosen = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)).where(~held_out())
+    chosen = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)).where(~held_out()).distinct()
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,8 +159,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
             x = [statistics(t).tolist() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    # at most ``sample`` rows on the broadcast side: a proven bound
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, x array<double>").toPandas()
+    # at most ``sample`` rows on the broadcast side, and one text (the least) of repeated rows: a proven bound
+    rows = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).mapInArrow(run, "doc_id long, y int, x array<double>").toPandas()
     rows["k"] = [tuple(v) for v in rows["x"]]
     rows = rows.sort_values(["doc_id", "y", "k"])
     return np.array([*map(np.asarray, rows["x"])]).reshape(len(rows), len(STATISTICS)), rows["y"].to_numpy(np.float64)

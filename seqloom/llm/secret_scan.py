@@ -49,6 +49,8 @@ LETTERS = re.compile(r"([A-Za-z0-9+/_-]+)|" + BREAK)
 END = re.compile(r"={0,2}(?![A-Za-z0-9+/_=])")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,24}?)PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]|\\+[nrt]|\\(?=[/\s])){40,})-----END \1PRIVATE KEY-----")
 WRITTEN_OUT = re.compile(r"\\+[nrt]|\\")
+#: Object identifier of RSA keys, 1.2.840.113549.1.1.1.
+RSA = bytes.fromhex("2a864886f70d010101")
 BASIC = re.compile(r"\bBasic ([A-Za-z0-9+/]{8,}={0,2})(?![A-Za-z0-9+/=])", re.A)
 HEX_SEQUENCE = re.compile(r"(?<![0-9a-fA-F])30[0-9a-fA-F]{94,}")
 
@@ -97,11 +99,15 @@ def is_der_key(data: bytes) -> bool:
     if not inner or inner[0][0] != 0x02 or inner[0][2] - inner[0][1] != 1:
         return False
     tags = [t for t, _, _ in inner]
-    if len(tags) >= 9 and all(t == 0x02 for t in tags[:9]):  # PKCS#1: version and eight integers
+    if len(tags) >= 9 and all(t == 0x02 for t in tags[:9]) and all(t in (0x02, 0x30) for t in tags):  # PKCS#1: version and eight integers
         return True
     if len(tags) >= 3 and tags[1] == 0x30 and tags[2] == 0x04:  # PKCS#8: version, algorithm, key octets
-        algorithm = der_items(data, *inner[1][1:])
-        return bool(algorithm) and algorithm[0][0] == 0x06
+        algorithm, key = der_items(data, *inner[1][1:]), der_items(data, *inner[2][1:])
+        if not algorithm or algorithm[0][0] != 0x06 or not key or len(key) != 1:
+            return False
+        # the key octets hold one value: a sequence whose parts close (RSA: a PKCS#1 key), octets or an integer
+        rsa = data[algorithm[0][1] : algorithm[0][2]] == RSA
+        return is_der_key(data[inner[2][1] : inner[2][2]]) if rsa else key[0][0] in (0x02, 0x04) or key[0][0] == 0x30 and bool(der_items(data, *key[0][1:]))
     return len(tags) >= 2 and tags[1] == 0x04 and data[inner[0][1]] == 1 and inner[1][2] - inner[1][1] >= 16  # SEC1
 
 
@@ -283,7 +289,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents, all columns kept, with secrets replaced; null texts stay null."""
+    """The documents, all columns kept, with secrets replaced; null texts stay null, an empty table stays empty."""
 
     @F.pandas_udf("string")
     def clean(texts):

@@ -53,9 +53,9 @@ MOST_FREQUENT, FREQUENT_FROM = 65_536, 32
 #: Entries of a frequent shingle's list, sets verified against one leader, and entries of a block, that meet in one task (about).
 PORTION, GROUP, BLOCK = 1024, 128, 256
 #: Leaders that a node is verified against, and the share of its index entries (one in so many) that it must have in common.
-LEADERS, SHARED = 3, 4
+LEADERS, SHARED = 2, 4
 #: Sets of a component's block, and members looked at together, when links are counted.
-LINK_BLOCK, COLUMNS = 512, 8192
+LINK_BLOCK, COLUMNS = 256, 8192
 #: Side of a tile, parts of a set's indexed places, nodes that a task remembers to have indexed.
 TILE, PLACES, MOST_SEEN = 64, 8, 1_000_000
 #: Sets whose 64-bit hashes clash, at most (a few are expected at 10**10 sets).
@@ -262,8 +262,9 @@ def texts_of(need: DataFrame, docs: DataFrame, size: int, names: Names) -> DataF
             picked = batch.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([*picked.columns, pa.array([bitmap(found[i]) for i in at], pa.binary())], ["node", "text", "bits"])
 
-    out = written(docs.join(need, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text").mapInArrow(run, "node long, text string, bits binary"))
-    if out.count() != need.count():  # repeated rows of one doc_id
+    wanted, n = small(need)
+    out = written(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text").mapInArrow(run, "node long, text string, bits binary"))
+    if out.count() != n:  # repeated rows of one doc_id
         out, again = written(out.dropDuplicates(["node"])), out
         drop(again)
     return out
@@ -278,8 +279,8 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     """The (x, y) of the pairs that are linked, as edges (u, v). Sets meet y in portions, each with one copy of y's text."""
     portions, _ = small(pairs.groupBy("y").agg(F.ceil(F.count("*") / GROUP).alias("portions")).where("portions > 1"))
     dealt = pairs.join(portions, "y", "left").select("x", "y", F.pmod(F.xxhash64("x"), F.coalesce("portions", F.lit(1).cast("long"))).alias("part"))
-    text = texts.select(F.col("node").alias("x"), "text")
-    both = dealt.join(text, "x").unionByName(dealt.select("y", "part").distinct().withColumn("x", F.col("y")).join(text, "x"))
+    wanted, _ = small(dealt.unionByName(dealt.select("y", "part").distinct().withColumn("x", F.col("y"))))
+    both = wanted.join(texts.select(F.col("node").alias("x"), "text"), "x")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = np.empty(0, np.int64)
@@ -308,12 +309,13 @@ def with_leaders(lists: DataFrame, percent: int) -> DataFrame:
     return count.withColumn("k", best).where(F.col("k") <= LEADERS).select(F.col("node").alias("x"), F.col("leader").alias("y"))
 
 
-def remaining(lists: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+def remaining(lists: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame | None:
     """Entries of the lists that still hold several components, with m, the entries of their list; the wide column comes last."""
     roots = components(links).withColumnRenamed("root", "comp")
     own = cut(lists.drop("leader").join(roots, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     several = own.groupBy("token").agg(F.count("*").alias("m"), F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token", "m")
-    return own.join(small(several)[0], "token").join(texts.select("node", "bits"), "node")
+    several, n = small(cut(several))
+    return own.join(several, "token").join(texts.select("node", "bits"), "node") if n else None
 
 
 ENTRY = ["token", "lo", "hi", "own", "node", "n", "pos", "comp", "bits"]
@@ -425,9 +427,10 @@ def candidates(dealt: DataFrame, percent: int, first: bool) -> DataFrame:
 
 @dataclass
 class Settled:
-    """docs (doc_id, text), rows (doc_id, node, n), nodes (node, rep, n, copies), comps (node, root) of nodes with a link, texts."""
+    """docs (doc_id, text), seen (read by rows and nodes), rows (doc_id, node, n), nodes (node, rep, n, copies), comps (node, root) of nodes with a link, texts."""
 
     docs: DataFrame
+    seen: DataFrame
     rows: DataFrame
     nodes: DataFrame
     comps: DataFrame
@@ -455,20 +458,25 @@ def settled(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) ->
     # parts of lists hold frequent shingles only, so there are few of them
     firsts = lists.where("leader IS NULL").groupBy("token").agg(F.min("node").alias("least"))
     led = lists.join(F.broadcast(firsts), "token", "left").withColumn("leader", F.coalesce("leader", "least")).drop("least")
-    texts = texts_of(lists.select("node").distinct().join(nodes.select("node", "rep"), "node"), docs, size, names)
+    need = cut(lists.select("node").distinct().join(nodes.select("node", "rep"), "node"))
+    texts = texts_of(need, docs, size, names)
+    drop(need)
     common.release(docs)
 
     pairs = cut(with_leaders(led, percent))
     links = cut(verified(pairs, texts, size, percent))
     drop(pairs)
     for first in (True, False):  # what the forests' links leave apart is looked at pair by pair
-        pairs = cut(candidates(block_pairs(remaining(lists, links, texts), percent), percent, first))
+        left = remaining(lists, links, texts)
+        if left is None:
+            break
+        pairs = cut(candidates(block_pairs(left, percent), percent, first))
         links, before = cut(links.unionByName(verified(pairs, texts, size, percent))), links
         drop(pairs, before)
         common.release(docs)
     comps = components(links)
     drop(lists, links)
-    return Settled(docs, rows, nodes, comps, texts, names)
+    return Settled(docs, seen, rows, nodes, comps, texts, names)
 
 
 def in_common(lists: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -512,7 +520,8 @@ def link_counts(found: Settled, size: int, percent: int) -> DataFrame:
     sizes = found.comps.groupBy("root").agg(F.count("*").alias("m")).where(F.col("m") > LINK_BLOCK).select("root", F.ceil(F.col("m") / LINK_BLOCK).alias("blocks"))
     one = F.lit(1).cast("long")
     placed = found.comps.join(small(sizes)[0], "root", "left").withColumn("blocks", F.coalesce("blocks", one))
-    full = placed.join(found.nodes.select("node", "copies"), "node").join(found.texts.select("node", "text"), "node")
+    wanted, _ = small(cut(placed.join(found.nodes.select("node", "copies"), "node")))
+    full = wanted.join(found.texts.select("node", "text"), "node")
     dealt = (
         full.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -554,10 +563,11 @@ def link_counts(found: Settled, size: int, percent: int) -> DataFrame:
 
 def links(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, n_links (the other rows within the threshold, each copy counted)."""
-    found = settled(docs, size, percent, doc_id, text)
-    counts = cut(link_counts(found, size, percent))
-    drop(found.texts)
-    about = cut(found.about().join(counts, "node", "left").select("node", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+    with common.scratch(docs.sparkSession) as keep:
+        found = settled(docs, size, percent, doc_id, text)
+        counts = cut(link_counts(found, size, percent))
+        about = keep(cut(found.about().join(counts, "node", "left").select("node", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))))
+        keep(found.seen)
     common.release(docs)
     some = found.rows.where("n > 0").join(about, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
     none = found.rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
@@ -569,13 +579,14 @@ def one_of_each(docs: DataFrame, size: int = 4, percent: int = 85, doc_id: str =
 
     Of repeated rows of that doc_id one stays; documents without words all stay; an empty table stays empty; columns may have any names.
     """
-    found = settled(docs, size, percent, doc_id, text)
-    drop(found.texts)
     node, id_, rows_ = (common.free(docs.columns, c) for c in ("node", "id", "rows"))
-    reps = found.about().where("rep <=> component_id").groupBy("root").agg(F.min("node").alias("node"), F.min("component_id").alias("rep"))
-    # how many rows have that set and that doc_id
-    same = found.rows.join(reps.select("node", "rep"), (found.rows["node"] == reps["node"]) & found.rows["doc_id"].eqNullSafe(reps["rep"])).groupBy(reps["node"]).agg(F.first("rep").alias(id_), F.count("*").alias(rows_))
-    stay = cut(same.withColumnRenamed("node", common.free(docs.columns, "kept")))
+    with common.scratch(docs.sparkSession) as keep:
+        found = settled(docs, size, percent, doc_id, text)
+        reps = found.about().where("rep <=> component_id").groupBy("root").agg(F.min("node").alias("node"), F.min("component_id").alias("rep"))
+        # how many rows have that set and that doc_id
+        same = found.rows.join(reps.select("node", "rep"), (found.rows["node"] == reps["node"]) & found.rows["doc_id"].eqNullSafe(reps["rep"])).groupBy(reps["node"]).agg(F.first("rep").alias(id_), F.count("*").alias(rows_))
+        stay = keep(cut(same.withColumnRenamed("node", common.free(docs.columns, "kept"))))
+    common.release(docs)
     kept = stay.columns[0]
     marked = with_nodes(docs, size, text, node, found.names)
     joined = marked.join(stay, (F.col(node) == F.col(kept)) & F.col(doc_id).cast("long").eqNullSafe(F.col(id_)), "left")
