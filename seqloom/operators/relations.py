@@ -107,3 +107,21 @@ def in_backup_folder(path: Column, names: tuple[str, ...] = ("backup", "backups"
     """Is some folder of the path (not its last component) a backup folder, in any case?"""
     parts = F.split(path, "/")
     return F.exists(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: F.lower(x).isin(*names))
+
+
+def numbered(rows: DataFrame, key: str, name: str, buckets: int = 256) -> DataFrame:
+    """Dense numbers from 1 in order of a key, without a task that holds all rows.
+
+    Some keys (a bounded number, chosen by hash) part the order into buckets; a bucket's numbers begin after the
+    counts of those before it. Any choice of keys gives the same numbers. Null keys come first.
+    """
+    cuts = sorted(r[0] for r in rows.where(F.col(key).isNotNull()).select(key).distinct().orderBy(F.xxhash64(key), key).limit(buckets).collect())
+    bounds = F.array(*(F.lit(c) for c in cuts)) if cuts else F.array().cast(f"array<{dict(rows.dtypes)[key]}>")
+    placed = rows.withColumn("_bucket", F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col(key))), F.lit(0)))
+    counts = placed.groupBy("_bucket").count().collect()  # at most one row a bucket
+    before = {r["_bucket"]: sum(o["count"] for o in counts if o["_bucket"] < r["_bucket"]) for r in counts}
+    offset = F.lit(0).cast("long")
+    if before:
+        offset = F.element_at(F.create_map(*(F.lit(x) for pair in before.items() for x in pair)), F.col("_bucket")).cast("long")
+    own = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col(key).asc_nulls_first()))
+    return placed.withColumn(name, offset + own).drop("_bucket")

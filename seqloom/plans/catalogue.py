@@ -419,9 +419,9 @@ def q_json_policy(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", k.alias("k"), F.when(k >= 50, "reject").otherwise("remove").alias("action"))
 
 
-@query("SELECT c_custkey, 'ex_' || lpad(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey)::VARCHAR, 4, '0') AS example_id FROM customer QUALIFY c_acctbal > 0")
+@query("SELECT c_custkey, 'ex_' || CASE WHEN n < 10000 THEN lpad(n::VARCHAR, 4, '0') ELSE n::VARCHAR END AS example_id FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) AS n FROM customer) WHERE c_acctbal > 0")
 def q_example_ids(spark, sf_dir):
-    c = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")).alias("n"))
+    c = rel.numbered(read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), "c_custkey", "n")
     return c.where("c_acctbal > 0").select("c_custkey", F.format_string("ex_%04d", F.col("n")).alias("example_id"))
 
 
@@ -429,3 +429,6 @@ def q_example_ids(spark, sf_dir):
 def q_quality_join(spark, sf_dir):
     d, labels = read(spark, sf_dir, "documents").select("doc_id"), read(spark, sf_dir, "labels")
     return d.join(labels, "doc_id", "left").select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
+
+
+from seqloom.plans import file_queries  # noqa: E402,F401  registers its queries

@@ -63,7 +63,7 @@ def manifest_rows(projects: Projects, audio: DataFrame, splits: DataFrame, rende
     skipped = projects.unparsed().groupBy("path").agg(F.collect_list(F.struct("name", F.lit("name is not canonical").alias("reason"))).alias("skipped_tracks"))
     from seqloom.sources.projects import audio_of, seconds
 
-    x = audio_of(projects.tempo, audio.select("path")).withColumn("_n", F.row_number().over(_all_by_path()))
+    x = relations.numbered(audio_of(projects.tempo, audio.select("path")), "path", "_n")
     a = audio.select(F.col("path").alias("audio_path"), "channels", F.col("sample_rate").alias("sample_rate_hz"), "frames", F.col("sha256").alias("source_audio_sha256"))
     x = x.join(parts, "path").join(skipped, "path", "left").join(a, "audio_path")
     performance = seconds(F.col("tempo"), F.col("ppq"), F.col("last_tick"))
@@ -80,13 +80,6 @@ def manifest_rows(projects: Projects, audio: DataFrame, splits: DataFrame, rende
     )
 
 
-def _all_by_path():
-    from pyspark.sql import Window
-
-    # one row per project file: the ids are dense by contract, so the files are numbered together
-    return Window.partitionBy(F.lit(0)).orderBy("path")
-
-
 def write_manifest(rows: DataFrame, folder: str) -> None:
     """One JSON object a line, in parts."""
     rows.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/manifest.jsonl")

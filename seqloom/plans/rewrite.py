@@ -115,6 +115,22 @@ def plan(projects: Projects, bend_range: int = gestures.BEND_RANGE, only_tracks:
     return events.groupBy("path").cogroup(files.groupBy("file")).applyInPandas(run, PLAN)
 
 
+def reread(before: Projects, after: Projects) -> DataFrame:
+    """path, same_others, last_tick_kept, gestures_left of rewritten files: what must hold of them before they may stay.
+
+    Tracks without a gesture keep their notes one by one, no gesture is left, and no part ends elsewhere than it may.
+    """
+    note = ["start", "end", "pitch", "velocity", "channel"]
+    digest = lambda p: p.notes.groupBy("path", "track").agg(F.sum(F.xxhash64(*note).cast("decimal(38,0)")).alias("sum"), F.count("*").alias("n"), F.max("end").alias("last"))
+    touched = gestures.glides(before.timed_notes).select("path", "track").distinct().withColumn("touched", F.lit(True))
+    a, b = digest(before), digest(after).select("path", "track", *(F.col(c).alias(f"{c}_b") for c in ("sum", "n", "last")))
+    both = a.join(after.files.select("path"), "path", "left_semi").join(b, ["path", "track"], "full").join(touched, ["path", "track"], "left")
+    same = F.col("sum").eqNullSafe(F.col("sum_b")) & F.col("n").eqNullSafe(F.col("n_b"))
+    rows = both.groupBy("path").agg(F.bool_and(F.coalesce("touched", F.lit(False)) | same).alias("same_others"), F.bool_and(F.col("last_b") >= F.col("last")).alias("last_tick_kept"))
+    left = gestures.glides(after.timed_notes).groupBy("path").agg(F.count("*").alias("gestures_left"))
+    return rows.join(left, "path", "left").na.fill(0, ["gestures_left"])
+
+
 def backup_of(path: Path) -> Path:
     return path.parent / "backup" / path.name
 

@@ -152,7 +152,7 @@ class Projects:
         plugin = F.when(~F.col("line").startswith(SAMPLER), plugin_name(F.col("line")))
         mute = lambda i: F.max_by(F.regexp_extract("line", r"^MUTESOLO\s+(\S+)\s+(\S+)", i), F.when(is_mute, F.col("ln"))) != "0"
         t = f.groupBy("path", "track").agg(
-            unquoted(F.trim(F.substring(F.min_by("line", F.when(is_name, F.col("ln"))), 6, 10_000))).alias("track_name"),
+            unquoted(F.trim(F.expr("substring(min_by(line, CASE WHEN startswith(line, 'NAME ') THEN ln END), 6)"))).alias("track_name"),
             F.coalesce(mute(1), F.lit(False)).alias("muted"),
             F.coalesce(mute(2), F.lit(False)).alias("soloed"),
             F.transform(F.array_sort(F.collect_list(F.when(plugin.isNotNull(), F.struct("ln", plugin.alias("p"))))), lambda x: x["p"]).alias("instrument_plugins"),
@@ -174,7 +174,7 @@ class Projects:
     def unparsed(self, strict: bool = False) -> DataFrame:
         """path, track, name of tracks whose name doesn't parse; invalid: only the strict form is missed."""
         name = F.coalesce("track_name", F.lit(""))
-        early = self._free.where((F.col("track") == 0) & F.col("line").startswith("NAME ")).groupBy("path").agg(unquoted(F.trim(F.substring(F.min_by("line", "ln"), 6, 10_000))).alias("name"))
+        early = self._free.where((F.col("track") == 0) & F.col("line").startswith("NAME ")).groupBy("path").agg(unquoted(F.trim(F.expr("substring(min_by(line, ln), 6)"))).alias("name"))
         t = self.tracks.where(names.parsed_name(name, strict).isNull())
         out = t.select("path", "track", F.when(name == "", "(unnamed)").otherwise(name).alias("name"), names.parsed_name(name).isNotNull().alias("invalid"))
         return out.unionByName(early.select("path", F.lit(0).cast("long").alias("track"), "name", F.lit(False).alias("invalid")))
