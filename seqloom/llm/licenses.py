@@ -226,7 +226,7 @@ cc-by-sa|cc by sa licen[cs]e
 copyright-only|some rights reserved
 # proprietary and source available
 proprietary|all rights reserved
-proprietary|(?:proprietary and confidential|confidential and proprietary)
+proprietary|proprietary and confidential|confidential and proprietary
 proprietary|unauthorized (?:copying|use|reproduction|distribution) (?:of this \w+ )?(?:\w+ )?is (?:strictly )?prohibited
 proprietary|end user license agreement
 proprietary|(?:contains|constitutes) (?:valuable )?trade secrets?
