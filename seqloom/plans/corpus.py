@@ -55,7 +55,7 @@ def _by_path(*order: str):
 
 
 def manifest_rows(projects: Projects, audio: DataFrame, splits: DataFrame, renderer: str, normalization: str = "none") -> DataFrame:
-    """Manifest rows of projects that have audio; ids by order of path, before anything is left out."""
+    """Manifest rows of projects that have audio; ids by order of path, before anything else is left out."""
     part = F.struct(
         F.col("canonical_name").alias("track_name"), "program", "is_drum", "rhythm", F.col("note_count").cast("int").alias("note_count"), "soundfont", "bank", "patch", "instrument_plugins", F.col("track_name").alias("source_track_name")
     )
@@ -63,7 +63,7 @@ def manifest_rows(projects: Projects, audio: DataFrame, splits: DataFrame, rende
     skipped = projects.unparsed().groupBy("path").agg(F.collect_list(F.struct("name", F.lit("name is not canonical").alias("reason"))).alias("skipped_tracks"))
     from seqloom.sources.projects import audio_of, seconds
 
-    x = relations.numbered(audio_of(projects.tempo, audio.select("path")), "path", "_n")
+    x = relations.numbered(audio_of(projects.tempo, audio.select("path")).where("audio_path IS NOT NULL"), "path", "_n")
     a = audio.select(F.col("path").alias("audio_path"), "channels", F.col("sample_rate").alias("sample_rate_hz"), "frames", F.col("sha256").alias("source_audio_sha256"))
     x = x.join(parts, "path").join(skipped, "path", "left").join(a, "audio_path")
     performance = seconds(F.col("tempo"), F.col("ppq"), F.col("last_tick"))

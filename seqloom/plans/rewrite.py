@@ -131,6 +131,15 @@ def reread(before: Projects, after: Projects) -> DataFrame:
     return rows.join(left, "path", "left").na.fill(0, ["gestures_left"])
 
 
+def verified(projects: Projects, plans: DataFrame, whole: bool = True) -> DataFrame:
+    """The plans, those whose files read again aren't what they must be turned into errors; ``whole``: no gesture may be left."""
+    plans = plans.persist()
+    seen = reread(projects, Projects(plans.where("content IS NOT NULL AND error IS NULL").select("path", "content")))
+    wrong = F.when(~F.col("same_others"), "another track would change").when(~F.col("last_tick_kept"), "a track would end earlier").when(F.lit(whole) & (F.col("gestures_left") > 0), "a gesture would be left")
+    out = plans.join(seen.select("path", wrong.alias("_wrong")), "path", "left").withColumn("error", F.coalesce("error", "_wrong")).drop("_wrong")
+    return out.withColumn("content", F.when(F.col("error").isNull(), F.col("content")))
+
+
 def backup_of(path: Path) -> Path:
     return path.parent / "backup" / path.name
 
@@ -149,6 +158,9 @@ def write(plans: DataFrame, dry_run: bool = False) -> list[dict]:
                 shutil.copy2(path, kept)
             fresh = path.with_suffix(path.suffix + ".new")
             fresh.write_bytes(bytes(content))
-            fresh.replace(path)
+            if fresh.read_bytes() != bytes(content):
+                fresh.unlink()
+                raise OSError(f"{path}: what was written isn't what is read")
+            fresh.replace(path)  # until here the project is as it was
         report.append(row | {"changed": content is not None and not r.error and not dry_run})
     return report
