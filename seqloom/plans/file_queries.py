@@ -228,10 +228,12 @@ def manifest(p: Projects) -> DataFrame:
     parts = F.when(s % 8 == 3, F.filter(parts, lambda x: x["is_drum"] | ~names.is_guitar(x["program"]))).when(s % 8 == 5, F.concat(parts, F.slice(parts, 1, 1))).otherwise(parts)
     exceptions = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<struct<extra_pitches:array<int>,reason:string>>"))
     tail = F.when(s % 10 == 1, -2.0).when(s % 10 == 2, 45.0).otherwise(1.0)
-    return rows.select(
+    out = rows.select(
         stem_of(F.col("path")).alias("id"), F.when(s % 9 != 4, F.col("path")).otherwise("/none").alias("midi_path"), F.col("path").alias("audio_path"), F.when(s % 5 == 2, 48_000).otherwise(44_100).alias("sample_rate_hz"), F.when(s % 7 != 6, "x").alias("renderer"), F.lit("none").alias("normalization"),
         tail.alias("tail_seconds"), F.lit(False).alias("live_recording"), parts.alias("parts"), exceptions.alias("approved_exceptions"),
-    )
+    ).persist()
+    _held.append(out)
+    return out
 
 
 def by_check(found: DataFrame) -> DataFrame:
