@@ -1,10 +1,13 @@
 """A corpus pipeline of five operators, each working on all that the one before it kept.
 
-quality     documents that fail a rule, or whose host is rejected, go
+quality     documents that fail a base rule, or whose host is rejected, go
 duplicates  one document of each group of near-duplicates stays
 benchmark   documents that leak a benchmark item go
 secrets     secrets are replaced in the texts; every document stays
 packing     what is left is packed into training sequences (one row per piece)
+
+Null texts count as empty and go at the first stage, null hosts are one host, repeated rows are each judged and one
+stays; an empty table gives an empty result; further columns stay up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
