@@ -61,7 +61,7 @@ TILE, PLACES, MOST_SEEN = 64, 8, 1_000_000
 #: Sets whose 64-bit hashes clash, at most (a few are expected at 10**10 sets).
 MOST_CLASHES = 10_000
 #: Bits of a set's parity bitmap, by the size of the set; larger bitmaps fold onto smaller ones.
-WIDTHS = ((1024, 1024), (6_000, 4096), (float("inf"), 16_384))
+WIDTHS = ((640, 512), (1536, 1024), (6_000, 4096), (float("inf"), 16_384))
 
 Names = dict[tuple[int, int], int]
 
@@ -402,27 +402,33 @@ def forest(i: np.ndarray, j: np.ndarray, share: np.ndarray, comp: np.ndarray) ->
 
 
 def candidates(dealt: DataFrame, percent: int, first: bool) -> DataFrame:
-    """(x, y) over all block pairs; ``first``: only a forest of each. y is the one that more of a block's pairs hold."""
+    """(x, y, token) over all block pairs; y is the one that more of a block's pairs hold, token is null.
+
+    ``first``: only a forest of each, and a row with the token alone for each list that has further pairs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in complete(batches, ["token", "lo", "hi"]):
             cuts = [*np.flatnonzero(changes(g["token"], g["lo"], g["hi"])).tolist(), len(g["token"])]
-            found = set()
+            found, further = set(), set()
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if b - a > 1:
                     own = {c: v[a:b] for c, v in g.items()}
                     i, j, share = pairs_in_block(own, percent)
                     if first and len(i):
                         trees = forest(i, j, share, own["comp"])
+                        if len(trees) < len(i):
+                            further.add(int(own["token"][0]))
                         i, j = i[trees], j[trees]
                     held = np.bincount(np.concatenate([i, j]).astype(np.int64), minlength=b - a)
                     turn = held[i] > held[j]
                     x, y = own["node"][np.where(turn, j, i)], own["node"][np.where(turn, i, j)]
                     found.update(zip(x.tolist(), y.tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in range(2)], ["x", "y"])
+            rows = [*((x, y, None) for x, y in found), *((None, None, t) for t in further)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["x", "y", "token"])
 
     keys = ["token", "lo", "hi"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "n", "pos", "node").mapInArrow(run, "x long, y long").distinct()
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "n", "pos", "node").mapInArrow(run, "x long, y long, token long").distinct()
 
 
 @dataclass
@@ -466,13 +472,17 @@ def settled(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) ->
     pairs = cut(with_leaders(led, percent))
     links = cut(verified(pairs, texts, size, percent))
     drop(pairs)
-    for first in (True, False):  # what the forests' links leave apart is looked at pair by pair
+    for first in (True, False):  # what the forests' links leave apart is looked at pair by pair, where a list had more than its forest
         left = remaining(lists, links, texts)
         if left is None:
             break
-        pairs = cut(candidates(block_pairs(left, percent), percent, first))
-        links, before = cut(links.unionByName(verified(pairs, texts, size, percent))), links
-        drop(pairs, before)
+        found = cut(candidates(block_pairs(left, percent), percent, first))
+        links, before = cut(links.unionByName(verified(found.where("token IS NULL").select("x", "y"), texts, size, percent))), links
+        if first:
+            further, _ = small(found.where("token IS NOT NULL").select("token"))
+            lists, whole = cut(lists.join(further, "token", "left_semi")), lists
+            drop(whole)
+        drop(found, before)
         common.release(docs)
     comps = components(links)
     drop(lists, links)
