@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import cut, drop
 
 #: Rows (two longs each) of a table of nodes that is broadcast at most.
-MOST_BROADCAST = 200_000
+MOST_BROADCAST = 50_000
 
 
 def small(nodes: DataFrame) -> tuple[DataFrame, int]:
