@@ -2,18 +2,22 @@
 
 A slide exported note by note is a ramp of very short notes; it can be written as one held chord under a
 pitch bend. Detection looks at the whole part at once (which notes sound at the same time, what a ramp
-starts from and lands on), so it works on one part at a time, as arrays; parts are dealt out by
-``groupBy(path, track).applyInPandas``. A part holds thousands of notes, not millions.
+starts from and lands on), so it works on one part at a time: a row of ``Projects.timed_lists``, whose notes are
+arrays. A part holds thousands of notes, not millions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Windows in seconds, lengths in quarter notes, sizes in semitones or chords.
 CHORD_S, STEP_GAP_S, LEAST_CHORDS, LEAST_SPAN = 0.010, 0.12, 4, 3
@@ -25,6 +29,8 @@ GLIDES = "path string, track long, kind string, shape string, pitches array<int>
 RAMPS = "path string, track long, indices array<int>, reason string, at_seconds double, overlapping int, start_tick long"
 SHORTS = "path string, track long, pitches array<int>, start_tick long, at_seconds double, duration_s double, gap_before_s double, gap_after_s double"
 FIGURES = "path string, track long, pitches array<int>, start_tick long, at_seconds double, steps int, voices int, span int, step_s double"
+NOTES = ("start", "end", "pitch", "velocity", "channel", "start_s", "end_s")
+REPORTED = "path string, track long, kind string, gestures long, dropped long, written long, max_bend int, notes int, reason string, pitches array<int>, start_tick long, at_seconds double, duration_s double, steps int, voices int, span int, step_s double"
 
 
 @dataclass
@@ -43,25 +49,38 @@ class Part:
     @classmethod
     def of(cls, notes: pd.DataFrame) -> Part:
         n = notes.sort_values(["start", "pitch", "note_ix"], kind="stable")
-        return cls(*(n[c].to_numpy() for c in ("start", "end", "pitch", "velocity", "channel", "start_s", "end_s")), int(n["ppq"].iloc[0]) if len(n) else 480)
+        return cls(*(n[c].to_numpy() for c in NOTES), int(n["ppq"].iloc[0]) if len(n) else 480)
+
+    @classmethod
+    def listed(cls, columns: list[np.ndarray], ppq: int) -> Part:
+        """A part of notes in order of (start, note_ix), by the columns of ``NOTES``."""
+        order = np.lexsort((columns[2], columns[0]))
+        return cls(*(c[order] for c in columns), ppq)
 
     def __post_init__(self) -> None:
         self.held = self.s1 - self.s0
         self.qn = (self.end - self.start) / self.ppq
         self.chords = self._chords()
-        self.moves = np.array([self._move(a, b) for a, b in zip(self.chords, self.chords[1:], strict=False)], int)
+        # single notes, the most by far, at once; chords one by one
+        single = np.array([len(c) == 1 for c in self.chords], bool)
+        heads = np.array([c[0] for c in self.chords], int)
+        d = np.diff(self.pitch[heads])
+        self.moves = np.where((np.abs(d) >= 1) & (np.abs(d) <= 2), d, 0)
+        for k in np.flatnonzero(~(single[:-1] & single[1:])).tolist():
+            self.moves[k] = self._move(self.chords[k], self.chords[k + 1])
+        self.first_s = self.s0[heads]
 
     def _chords(self) -> list[np.ndarray]:
         """Notes struck within a moment of the first and while it, or another of them, still sounds."""
         found: list[list[int]] = []
-        until = -1
-        for i in range(len(self.start)):
-            if found and self.s0[i] - self.s0[found[-1][0]] < CHORD_S and self.start[i] < until:
+        until, head = -1, 0.0
+        for i, (s0, start, end) in enumerate(zip(self.s0.tolist(), self.start.tolist(), self.end.tolist(), strict=True)):
+            if found and s0 - head < CHORD_S and start < until:
                 found[-1].append(i)
-                until = max(until, self.end[i])
+                until = max(until, end)
             else:
                 found.append([i])
-                until = self.end[i]
+                until, head = end, s0
         return [np.array(g) for g in found]
 
     def tones(self, which) -> np.ndarray:
@@ -76,8 +95,7 @@ class Part:
 
     def chains(self) -> list[tuple[int, int]]:
         """(first, last) chord of each maximal run in one direction, taken greedily from the left."""
-        close = np.array([self.s0[b[0]] - self.s0[a[0]] < STEP_GAP_S for a, b in zip(self.chords, self.chords[1:], strict=False)], bool)
-        sign = np.where(close, np.sign(self.moves), 0) if len(self.moves) else np.empty(0, int)
+        sign = np.where(np.diff(self.first_s) < STEP_GAP_S, np.sign(self.moves), 0)
         found, edge = [], 0
         for direction, run in groupby(sign.tolist()):
             n = len(list(run))
@@ -189,6 +207,8 @@ def short_notes(part: Part) -> list[dict]:
     if len(part.start) < 2:
         return []
     out = []
+    if not (part.held < SHORT_S).any():  # then no chord is short
+        return []
     opens, closes = [part.s0[c].min() for c in part.chords], [part.s1[c].max() for c in part.chords]
     for k, c in enumerate(part.chords):
         before = opens[k] - closes[k - 1] if k else None
@@ -202,6 +222,8 @@ def short_notes(part: Part) -> list[dict]:
 
 def small_figures(part: Part, covered: set[int]) -> list[dict]:
     """Short runs of short chords, below what is converted, next to a held note."""
+    if not (part.qn < FILLER_MOST_QN).any():
+        return []
     runs: list[list[int]] = [[]]
     way = 0
     for k, c in enumerate(part.chords):
@@ -264,33 +286,66 @@ def in_order(events: list[tuple[int, int, int, int]]) -> list[tuple[int, int, in
     return sorted(events, key=lambda e: (e[0], rank.get(e[1] & 0xF0, 4)))
 
 
-def _per_part(timed_notes: DataFrame, schema: str, rows_of) -> DataFrame:
-    columns = [c.split(" ")[0] for c in schema.split(", ")]
+def per_part(timed_lists: DataFrame, schema: str, rows_of: Callable[..., list[dict]], *given: str) -> DataFrame:
+    """The rows that ``rows_of`` gives for each part (and the columns ``given`` of it), with path and track."""
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(key, notes: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([{"path": key[0], "track": key[1], **r} for r in rows_of(Part.of(notes))], columns=columns)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            lists = [batch.column(c) for c in NOTES]
+            ends = [c.offsets.to_pylist() for c in lists]
+            flat = [c.values.to_numpy(zero_copy_only=False) for c in lists]
+            flat = [c if c.dtype.kind == "f" else c.astype(int) for c in flat]
+            rows = zip(*(batch.column(c).to_pylist() for c in ("path", "track", "ppq", *given)), strict=True)
+            for i, (path, track, ppq, *more) in enumerate(rows):
+                part = Part.listed([c[e[i] : e[i + 1]] for c, e in zip(flat, ends, strict=True)], ppq)
+                out += [{"path": path, "track": track, **r} for r in rows_of(part, *more)]
+            if out:
+                yield pa.RecordBatch.from_pylist(out, arrow)
 
-    return timed_notes.groupBy("path", "track").applyInPandas(run, schema)
+    return timed_lists.select("path", "track", "ppq", *given, *NOTES).mapInArrow(run, schema)
 
 
-def glides(timed_notes: DataFrame) -> DataFrame:
-    return _per_part(timed_notes, GLIDES, lambda p: detect(p)[0])
+def glides(timed_lists: DataFrame) -> DataFrame:
+    return per_part(timed_lists, GLIDES, lambda p: detect(p)[0])
 
 
-def unsafe_ramps(timed_notes: DataFrame) -> DataFrame:
-    return _per_part(timed_notes, RAMPS, lambda p: detect(p)[1])
+def unsafe_ramps(timed_lists: DataFrame) -> DataFrame:
+    return per_part(timed_lists, RAMPS, lambda p: detect(p)[1])
 
 
-def isolated_notes(timed_notes: DataFrame) -> DataFrame:
-    return _per_part(timed_notes, SHORTS, short_notes)
+def isolated_notes(timed_lists: DataFrame) -> DataFrame:
+    return per_part(timed_lists, SHORTS, short_notes)
 
 
-def figures(timed_notes: DataFrame) -> DataFrame:
-    def rows(p: Part) -> list[dict]:
-        found, ramps = detect(p)
-        return small_figures(p, {i for g in found for i in g["drop"]} | {i for r in ramps for i in r["indices"]})
+def covered(glides: list[dict], ramps: list[dict]) -> set[int]:
+    return {i for g in glides for i in g["drop"]} | {i for r in ramps for i in r["indices"]}
+
 
-    return _per_part(timed_notes, FIGURES, rows)
+def figures(timed_lists: DataFrame) -> DataFrame:
+    return per_part(timed_lists, FIGURES, lambda p: small_figures(p, covered(*detect(p))))
+
+
+def reported(timed_lists: DataFrame, melodic: str) -> DataFrame:
+    """What a report lists, each part looked at once: kind (gestures, ramp, short, figure) and its columns, others null.
+
+    Short notes and figures are those of parts for which the column ``melodic`` holds.
+    """
+
+    def rows(p: Part, melodic: bool) -> list[dict]:
+        found, ramps = detect(p)
+        out = []
+        if found:
+            most = max(max(abs(g["bend_from"]), abs(g["bend_to"])) for g in found)
+            out.append({"kind": "gestures", "gestures": len(found), "dropped": sum(len(g["drop"]) for g in found), "written": sum(len(g["pitches"]) for g in found), "max_bend": most})
+        out += [{"kind": "ramp", "notes": len(r["indices"]), **{c: r[c] for c in ("reason", "start_tick", "at_seconds")}} for r in ramps]
+        if melodic:
+            out += [{"kind": "short", **{c: r[c] for c in ("pitches", "start_tick", "at_seconds", "duration_s")}} for r in short_notes(p)]
+            out += [{"kind": "figure", **r} for r in small_figures(p, covered(found, ramps))]
+        return out
+
+    return per_part(timed_lists, REPORTED, rows, melodic)
 
 
 def gesture_totals(found: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from seqloom.operators import gestures
 from seqloom.plans import contract, corpus, preflight
 from seqloom.plans.render import RenderError, Synthesis
 from seqloom.sources import media
-from seqloom.sources.projects import Projects, audio_of, stem_of
+from seqloom.sources.projects import Projects, audio_of, gathered, stem_of
 
 #: Fixed values of a manifest: what the contract asks of audio, and how a mixdown's level was set.
 SAMPLE_RATE, NORMALIZATION = 44_100, "manual"
@@ -70,7 +70,7 @@ def policies_of(spark: SparkSession, sidecar: dict) -> tuple[DataFrame, DataFram
 def gates(projects: Projects, allow_ramps: bool = False, allow_polyphonic: bool = False) -> DataFrame:
     """path, error: what keeps a project out, its reasons joined."""
     parts = projects.parts()
-    notes = projects.timed_notes.join(parts.select("path", "track"), ["path", "track"], "left_semi")
+    notes = projects.timed_lists.join(parts.select("path", "track"), ["path", "track"], "left_semi")
     found = projects.files.select("path")
     count = lambda rows, c: rows.groupBy("path").agg(F.count("*").alias(c))
     found = found.join(count(gestures.glides(notes), "_g"), "path", "left").join(count(gestures.unsafe_ramps(notes), "_r"), "path", "left")
@@ -117,7 +117,7 @@ def import_corpus(files: DataFrame, audio_files: DataFrame, out: str, sidecar: d
     same = Window.partitionBy("path", "program", "is_drum", "rhythm").orderBy("track")
     first = projects.parts().withColumn("_k", F.row_number().over(same)).where("_k = 1").select("path", "track")
     final = Projects(files)
-    final.notes = kept.select(*projects.notes.columns).persist()
+    final.note_lists = gathered(kept).persist()
     final.tracks = final.tracks.join(first.unionByName(projects.unparsed().select("path", "track")), ["path", "track"], "left_semi").persist()
 
     splits = splits_for(spark, files.select(stem_of(F.col("path")).alias("id")), fraction, out)

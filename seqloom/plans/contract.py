@@ -76,23 +76,25 @@ def audio_checks(manifest: DataFrame, audio: DataFrame) -> DataFrame:
 def midi_checks(manifest: DataFrame, midi: DataFrame) -> DataFrame:
     """Checks 3, 5, 7, 8: programs, tracks and note counts against the manifest, pitch ranges."""
     files = manifest.select("id", "approved_exceptions", F.col("midi_path").alias("path"))
-    missing = files.join(midi.select("path"), "path", "left_anti")
-    m = midi.join(files, "path")
-    by = ["id", "path", "track"]
     name = F.min_by(F.decode("payload", "ISO-8859-1"), F.when((F.col("status") == 255) & (F.col("d1") == 3), F.col("tick")))
     kind = F.col("status").bitwiseAND(0xF0)
     voice = F.col("status") < 0xF0
     on = voice & (kind == 0x90) & (F.col("d2") > 0)
     change, bank = voice & (kind == 0xC0), voice & (kind == 0xB0) & F.col("d1").isin(0, 32)
-    t = m.groupBy(*by).agg(name.alias("track_name"), F.count(F.when(change, 1)).alias("changes"), F.min(F.when(change, F.col("d1"))).alias("carried"), F.count(F.when(bank, 1)).alias("banks"), F.count(F.when(on, 1)).alias("notes"))
-    t = t.where("coalesce(track_name, '') NOT IN ('', 'conductor')")
-    parts = manifest.join(m.select("id").distinct(), "id", "left_semi").select("id", F.explode("parts").alias("p")).select("id", "p.track_name", "p.program", "p.is_drum", "p.note_count")
+    # messages are summed up by track before anything is joined; a pitch that every range holds can't be at fault
+    tracks = midi.groupBy("path", "track").agg(name.alias("track_name"), F.count(F.when(change, 1)).alias("changes"), F.min(F.when(change, F.col("d1"))).alias("carried"), F.count(F.when(bank, 1)).alias("banks"), F.count(F.when(on, 1)).alias("notes"))
+    both = max(PITCHES[0], DRUM_PITCHES[0]), min(PITCHES[1], DRUM_PITCHES[1])
+    pitches = midi.where(on & ~F.col("d1").between(*both)).groupBy("path", "track", F.col("d1").alias("pitch")).agg(F.count("*").alias("n"))
+    there = tracks.select("path").distinct()
+    missing = files.join(there, "path", "left_anti")
+    t = tracks.join(files.select("id", "path"), "path").where("coalesce(track_name, '') NOT IN ('', 'conductor')")
+    parts = manifest.join(files.join(there, "path", "left_semi").select("id").distinct(), "id", "left_semi").select("id", F.explode("parts").alias("p")).select("id", "p.track_name", "p.program", "p.is_drum", "p.note_count")
     known = t.join(parts, ["id", "track_name"])
     melodic = known.where("NOT is_drum")
-    pitch = m.where(on).select(*by, "approved_exceptions", F.col("d1").alias("pitch")).join(known.select(*by, "track_name", "is_drum"), by)
+    pitch = pitches.join(files, "path").join(known.select("id", "path", "track", "track_name", "is_drum"), ["id", "path", "track"])
     low, high = F.when(F.col("is_drum"), DRUM_PITCHES[0]).otherwise(PITCHES[0]), F.when(F.col("is_drum"), DRUM_PITCHES[1]).otherwise(PITCHES[1])
     allowed = F.coalesce(F.array_contains(F.try_element_at("approved_exceptions", F.col("track_name"))["extra_pitches"], F.col("pitch")), F.lit(False))
-    odd = pitch.where(~F.col("pitch").between(low, high) & ~allowed).groupBy("id", "track_name", low.alias("low"), high.alias("high")).agg(F.count("*").alias("n"))
+    odd = pitch.where(~F.col("pitch").between(low, high) & ~allowed).groupBy("id", "track_name", low.alias("low"), high.alias("high")).agg(F.sum("n").alias("n"))
     counted = parts.join(t.select("id", "track_name", "notes"), ["id", "track_name"], "left").where("NOT notes <=> note_count")
     found = [
         _found(missing, 7, F.lit("MIDI missing")),

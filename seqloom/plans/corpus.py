@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seqloom.functions import music
@@ -19,33 +19,36 @@ DRUM_CHANNEL, REPOSITORIES = 9, 4
 def corpus_midi(projects: Projects) -> DataFrame:
     """path, midi: a type-1 file of a conductor track and a named track for each part.
 
-    Events are rows in Spark, ordered by tick with note-offs first; only the byte form is put together in Python, one project at a time.
+    Events are in order of tick with note-offs first; the byte form is put together in Python, one project at a time.
     """
     parts = projects.parts().withColumn("_ix", F.row_number().over(_by_path("track")) - 1)
     channel = F.when(F.col("is_drum"), DRUM_CHANNEL).otherwise(music.melodic_channel(F.col("_ix")))
     p = parts.select("path", "track", "canonical_name", "program", "is_drum", channel.alias("ch"))
-    notes = projects.notes.join(p.select("path", "track", "ch"), ["path", "track"])
-    event = F.explode(F.array(F.struct(F.col("start").alias("tick"), F.lit(1).alias("rank"), "pitch", "velocity"), F.struct(F.col("end").alias("tick"), F.lit(0).alias("rank"), "pitch", F.lit(0).alias("velocity"))))
-    events = notes.select("path", "track", "note_ix", event.alias("e")).groupBy("path", "track").agg(F.array_sort(F.collect_list(F.struct("e.tick", "e.rank", "note_ix", "e.pitch", "e.velocity"))).alias("events"))
-    tracks = p.join(events, ["path", "track"], "left").groupBy("path").agg(F.array_sort(F.collect_list(F.struct("track", "canonical_name", "program", "is_drum", "ch", "events"))).alias("tracks"))
+    notes = projects.note_lists.select("path", "track", "start", "end", "pitch", "velocity")
+    own = F.struct("track", "canonical_name", "program", "is_drum", "ch", "start", "end", "pitch", "velocity")
+    tracks = p.join(notes, ["path", "track"], "left").groupBy("path").agg(F.array_sort(F.collect_list(own)).alias("tracks"))
     rows = tracks.join(projects.tempo, "path").select("path", "project_id", "ppq", "time_signature", "tempo", "tracks")
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for r in batch.itertuples():
-                den = max(0, int(r.time_signature["den"]).bit_length() - 1)
-                conductor = [(0, bytes([0xFF, 0x58, 4, r.time_signature["num"], den, 24, 8]))]
-                conductor += [(int(t["tick"]), b"\xff\x51\x03" + int(t["us"]).to_bytes(3)) for t in r.tempo]
+            columns = [batch.column(c) for c in ("path", "ppq", "time_signature", "tempo", "tracks")]
+            for path, ppq, signature, tempo, tracks in zip(*columns, strict=True):
+                signature = signature.as_py()
+                den = max(0, int(signature["den"]).bit_length() - 1)
+                conductor = [(0, bytes([0xFF, 0x58, 4, signature["num"], den, 24, 8]))]
+                conductor += [(t["tick"], b"\xff\x51\x03" + t["us"].to_bytes(3)) for t in tempo.as_py()]
                 body = [media.midi_track(sorted(conductor, key=lambda e: e[0]), "conductor")]
-                for t in r.tracks:
-                    own = [] if t["is_drum"] else [(0, bytes([0xC0 | t["ch"], int(t["program"])]))]
-                    own += [(int(e["tick"]), bytes([(0x90 if e["rank"] else 0x80) | t["ch"], e["pitch"], e["velocity"]])) for e in (t["events"] if t["events"] is not None else [])]
+                for t in tracks.as_py():
+                    own = [] if t["is_drum"] else [(0, bytes([0xC0 | t["ch"], t["program"]]))]
+                    if t["start"] is not None:
+                        pitch, velocity, on, off = t["pitch"], t["velocity"], 0x90 | t["ch"], 0x80 | t["ch"]
+                        # by tick, offs before ons, then by note
+                        points = sorted([(a, 1, k) for k, a in enumerate(t["start"])] + [(b, 0, k) for k, b in enumerate(t["end"])])
+                        own += [(at, bytes((on, pitch[k], velocity[k])) if rank else bytes((off, pitch[k], 0))) for at, rank, k in points]
                     body.append(media.midi_track(own, t["canonical_name"]))
-                out.append((r.path, media.midi_file(body, int(r.ppq))))
-            yield pd.DataFrame(out, columns=["path", "midi"])
+                yield pa.RecordBatch.from_arrays([pa.array([path.as_py()]), pa.array([media.midi_file(body, ppq.as_py())], pa.binary())], ["path", "midi"])
 
-    return rows.mapInPandas(encode, "path string, midi binary")
+    return rows.mapInArrow(encode, "path string, midi binary")
 
 
 def _by_path(*order: str):

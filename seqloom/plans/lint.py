@@ -39,37 +39,36 @@ def part_findings(parts: DataFrame, vocabulary: DataFrame | None = None) -> Data
     return reduce(DataFrame.unionByName, found)
 
 
-def located(rows: DataFrame, headers: DataFrame, parts: DataFrame, tick: str, at: str) -> DataFrame:
-    """Adds ``where``, bar.beat @ m:ss.mmm, and the part's name."""
-    h = headers.select("path", "ppq", "time_signature")
-    out = rows.join(h, "path").join(parts.select("path", "track", "track_name", "is_drum"), ["path", "track"])
-    sig = F.col("time_signature")
-    return out.withColumn("where", F.concat(F.lit("bar "), music.bar_beat(F.col(tick), F.col("ppq"), sig["num"], sig["den"]), F.lit(" @ "), music.clock(F.col(at))))
+def gesture_findings(projects: Projects, parts: DataFrame, listed: list[str]) -> DataFrame:
+    """Findings on the notes of parts, of the kinds ``listed`` (gestures, ramp, short, figure); those at a place begin with it, bar.beat @ m:ss.mmm."""
+    own = parts.select("path", "track", "track_name", (~F.col("is_drum")).alias("_melodic"))
+    found = gestures.reported(projects.timed_lists.join(own.select("path", "track", "_melodic"), ["path", "track"]), "_melodic").where(F.col("kind").isin(*listed))
+    found = found.join(projects.tempo.select("path", "ppq", "time_signature"), "path").join(own, ["path", "track"])
+    sig, kind = F.col("time_signature"), F.col("kind")
+    where = F.concat(F.lit("bar "), music.bar_beat(F.col("start_tick"), F.col("ppq"), sig["num"], sig["den"]), F.lit(" @ "), music.clock(F.col("at_seconds")))
+    name, pitches = F.left("track_name", F.lit(38)), F.concat(F.lit("["), F.array_join("pitches", ", "), F.lit("]"))
+    messages = {
+        "gestures": F.format_string("slide gestures needing pitch-bend conversion: %s -- %d gesture(s), %d notes -> %d, max bend %d st", F.left("track_name", F.lit(44)), "gestures", "dropped", "written", "max_bend"),
+        "ramp": F.format_string("%s  slide ramp, %d notes (%s)  %s", where, "notes", "reason", name),
+        "short": F.format_string("%s  short note %.0fms %s  %s", where, F.col("duration_s") * 1000, pitches, name),
+        "figure": F.format_string("%s  small slide figure, %d steps %dv span %d @%.0fms from %s  %s", where, "steps", "voices", "span", F.col("step_s") * 1000, pitches, name),
+    }
+    of = lambda texts: F.coalesce(*(F.when(kind == k, v) for k, v in texts.items()))
+    rule = of({k: F.lit(v) for k, v in (("gestures", "slide gestures"), ("ramp", "slide ramp"), ("short", "short note"), ("figure", "small slide figure"))})
+    severity = of({k: F.lit(v) for k, v in (("gestures", "problem"), ("ramp", "fix"), ("short", "warn"), ("figure", "warn"))})
+    return found.select("path", "track", rule.alias("rule"), severity.alias("severity"), F.col("start_tick").alias("tick"), of(messages).alias("message"))
 
 
 def lint(projects: Projects, vocabulary: DataFrame | None = None, allow_ramps: bool = False, allow_polyphonic: bool = False, warnings: bool = True) -> DataFrame:
     """All findings: path, track, rule, severity (problem, fix, warn), tick, message."""
     parts = projects.parts()
-    notes = projects.timed_notes.join(parts.select("path", "track"), ["path", "track"], "left_semi")
     text = lambda s: F.lit(s)
     names = projects.unparsed().select("path", "track", "name")
     found = [_finding(names, "non-canonical name", "problem", F.concat(text("non-canonical track name: "), F.left("name", F.lit(70)))), part_findings(parts, vocabulary)]
     broken = projects.malformed.select("path", F.lit(None).cast("long").alias("track"), "line")
     found.append(_finding(broken, "malformed event", "problem", F.concat(text("malformed event line: "), F.left("line", F.lit(60)))))
-    if not allow_ramps:
-        totals = gestures.gesture_totals(gestures.glides(notes)).join(parts.select("path", "track", "track_name"), ["path", "track"])
-        found.append(_finding(totals, "slide gestures", "problem", F.format_string("slide gestures needing pitch-bend conversion: %s -- %d gesture(s), %d notes -> %d, max bend %d st", F.left("track_name", F.lit(44)), "gestures", "dropped", "written", "max_bend")))
-    if not allow_polyphonic:
-        ramps = located(gestures.unsafe_ramps(notes), projects.headers, parts, "start_tick", "at_seconds")
-        found.append(_finding(ramps, "slide ramp", "fix", F.format_string("%s  slide ramp, %d notes (%s)  %s", "where", F.size("indices"), "reason", F.left("track_name", F.lit(38))), F.col("start_tick")))
-    if warnings:
-        melodic = notes.join(parts.where("NOT is_drum").select("path", "track"), ["path", "track"], "left_semi")
-        pitches = F.concat(F.lit("["), F.array_join("pitches", ", "), F.lit("]"))
-        short = located(gestures.isolated_notes(melodic), projects.headers, parts, "start_tick", "at_seconds")
-        found.append(_finding(short, "short note", "warn", F.format_string("%s  short note %.0fms %s  %s", "where", F.col("duration_s") * 1000, pitches, F.left("track_name", F.lit(38))), F.col("start_tick")))
-        small = located(gestures.figures(melodic), projects.headers, parts, "start_tick", "at_seconds")
-        found.append(_finding(small, "small slide figure", "warn", F.format_string("%s  small slide figure, %d steps %dv span %d @%.0fms from %s  %s", "where", "steps", "voices", "span", F.col("step_s") * 1000, pitches, F.left("track_name", F.lit(38))), F.col("start_tick")))
-    return reduce(DataFrame.unionByName, found).select(*FINDING)
+    listed = [k for k, wanted in (("gestures", not allow_ramps), ("ramp", not allow_polyphonic), ("short", warnings), ("figure", warnings)) if wanted]
+    return reduce(DataFrame.unionByName, [*found, gesture_findings(projects, parts, listed)] if listed else found).select(*FINDING)
 
 
 def statuses(projects: Projects, findings: DataFrame) -> DataFrame:
@@ -77,7 +76,7 @@ def statuses(projects: Projects, findings: DataFrame) -> DataFrame:
     count = lambda *s: F.count(F.when(F.col("severity").isin(*s), 1))
     totals = findings.groupBy("path").agg(count("problem", "fix").alias("problems"), count("warn").alias("warnings"))
     parts = projects.parts().groupBy("path").agg(F.count("*").alias("parts"))
-    out = projects.files.select("path").join(parts, "path", "left").join(totals, "path", "left").na.fill(0, ["parts", "problems", "warnings"])
+    out = projects.paths.join(parts, "path", "left").join(totals, "path", "left").na.fill(0, ["parts", "problems", "warnings"])
     return out.withColumn("status", relations.status(F.col("problems"), F.col("warnings")))
 
 

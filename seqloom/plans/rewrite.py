@@ -7,67 +7,56 @@ range, refuses the file and says why. Lines that are no events stay as they are,
 from __future__ import annotations
 
 import shutil
-from collections import defaultdict, deque
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from seqloom.operators import gestures
-from seqloom.sources.projects import Projects
+from seqloom.sources.projects import Projects, paired, text_of, tracks_in
 
 PLAN = "path string, content binary, gestures int, skipped int, notes_before int, notes_after int, error string"
+_PLAN = pa.schema([("path", pa.string()), ("content", pa.binary()), *((c, pa.int32()) for c in ("gestures", "skipped", "notes_before", "notes_after")), ("error", pa.string())])
 
 
 def seconds_in(tempo: list, ppq: int):
-    """tick -> seconds over a list of (tick, us, cum)."""
-    ticks = np.array([t["tick"] for t in tempo])
+    """Ticks -> seconds over a list of (tick, us, cum)."""
+    ticks, us, cum = (np.array([t[c] for t in tempo]) for c in ("tick", "us", "cum"))
 
-    def at(tick: int) -> float:
-        j = int(np.searchsorted(ticks, tick, "left")) - 1
-        return tempo[j]["cum"] + (tick - ticks[j]) / ppq * tempo[j]["us"] / 1e6 if j >= 0 else tick / ppq * tempo[0]["us"] / 1e6
+    def at(tick):
+        j = np.searchsorted(ticks, tick, "left") - 1
+        return np.where(j >= 0, cum[j] + (tick - ticks[j]) / ppq * us[j] / 1e6, np.asarray(tick) / ppq * us[0] / 1e6)
 
     return at
 
 
-def paired(events: pd.DataFrame) -> pd.DataFrame:
-    """Notes with the places of their on and off in the events; first in, first out."""
-    waiting: dict[tuple[int, int], deque] = defaultdict(deque)
-    rows = []
-    for k, e in enumerate(events.itertuples()):
-        if e.kind == 0x90 and e.d2 > 0:
-            waiting[e.channel, e.d1].append((e.tick, e.d2, k))
-        elif e.kind in (0x80, 0x90) and waiting[e.channel, e.d1]:
-            start, velocity, on = waiting[e.channel, e.d1].popleft()
-            rows.append((start, max(e.tick, start + 1), e.d1, velocity, e.channel, on, k))
-    notes = pd.DataFrame(rows, columns=["start", "end", "pitch", "velocity", "channel", "on", "off"])
-    notes["note_ix"] = notes["off"]
-    return notes.sort_values(["start", "pitch", "note_ix"], kind="stable", ignore_index=True)
-
-
-def planned_track(lines: list[bytes], events: pd.DataFrame, seconds, ppq: int, bend_range: int) -> tuple[dict[int, bytes], dict]:
-    """New text by line number (of the track's event lines), and counts. Raises ValueError where the track is refused."""
-    notes = paired(events)
-    notes["start_s"], notes["end_s"], notes["ppq"] = notes["start"].map(seconds), notes["end"].map(seconds), ppq
-    if not len(notes):
+def planned_track(lines: list[bytes], events: list[tuple], seconds, ppq: int, bend_range: int) -> tuple[dict[int, bytes], dict]:
+    """New text by line number (of the track's event lines), and counts. Raises ValueError where the track is refused.
+
+    ``events``: (run, ln, tick, status, d1, d2) in order; notes are paired across runs.
+    """
+    notes = sorted(paired([(0, *e[1:]) for e in events]), key=lambda n: (n[0], n[2], n[6]))
+    if not notes:
         return {}, {"gestures": 0, "skipped": 0, "before": 0, "after": 0}
-    glides, skipped = gestures.detect(gestures.Part.of(notes))
+    columns = [np.array(c) for c in list(zip(*notes, strict=True))[:5]]
+    glides, skipped = gestures.detect(gestures.Part.listed([*columns, seconds(columns[0]), seconds(columns[1])], ppq))
     counts = {"gestures": len(glides), "skipped": len(skipped), "before": len(notes), "after": len(notes)}
     if not glides:
         return {}, counts
-    if events["run"].nunique() > 1:
+    if len({e[0] for e in events}) > 1:
         raise ValueError("the track has several runs of events")
     if (most := max(max(abs(g["bend_from"]), abs(g["bend_to"])) for g in glides)) > bend_range:
         raise ValueError(f"a gesture needs {most} semitones of bend, the range is {bend_range}")
     gone = {i for g in glides for i in g["drop"]}
-    cut = {int(notes[c][i]) for i in gone for c in ("on", "off")}
-    own = [(int(e.tick), int(e.status), int(e.d1), int(e.d2), int(e.ln)) for k, e in enumerate(events.itertuples()) if k not in cut]
+    cut = {k for i in gone for k in notes[i][5:]}
+    own = [(tick, status, d1, d2, ln) for k, (_, ln, tick, status, d1, d2) in enumerate(events) if k not in cut]
     made = [(*e, -1) for g in glides for e in gestures.replacement(g, seconds, bend_range)]
     order = gestures.in_order([*own, *made])
-    if max(e[0] for e in order) != max(int(events["tick"].max()), *(e[0] for e in made)):
+    if max(e[0] for e in order) != max(*(e[2] for e in events), *(e[0] for e in made)):
         raise ValueError("the last tick would change")
-    first = int(events["ln"].iloc[0])
+    first = events[0][1]
     head = lines[first]
     indent, newline = head[: len(head) - len(head.lstrip())], head[len(head.rstrip(b"\r\n")) :]
     text, before = [], 0
@@ -77,7 +66,7 @@ def planned_track(lines: list[bytes], events: pd.DataFrame, seconds, ppq: int, b
             text.append(lines[ln + 1])
         before = tick
     new = {}
-    for ln in events["ln"].astype(int):
+    for ln in (e[1] for e in events):
         new[ln] = b""
         if ln + 1 < len(lines) and lines[ln + 1].strip().startswith(b"ENV"):
             new[ln + 1] = b""
@@ -91,28 +80,34 @@ def plan(projects: Projects, bend_range: int = gestures.BEND_RANGE, only_tracks:
     parts = projects.parts().select("path", "track", "track_name")
     if only_tracks:
         parts = parts.where(parts.track_name.isin(only_tracks))
-    events = projects.events.join(parts.select("path", "track"), ["path", "track"], "left_semi")
-    files = projects.files.join(projects.tempo.select("path", "ppq", "tempo"), "path").select(F.col("path").alias("file"), "content", "ppq", "tempo")
-
-    def run(key, events: pd.DataFrame, files: pd.DataFrame) -> pd.DataFrame:
-        out = {"path": key[0], "content": None, "gestures": 0, "skipped": 0, "notes_before": 0, "notes_after": 0, "error": None}
-        if len(files):
-            f = files.iloc[0]
-            lines = bytes(f["content"]).splitlines(keepends=True)
-            seconds, new = seconds_in(list(f["tempo"]), int(f["ppq"])), {}
-            try:
-                for _, own in events.sort_values("ln").groupby("track"):
-                    edits, n = planned_track(lines, own, seconds, int(f["ppq"]), bend_range)
+    own = projects.tempo.select("path", "ppq", "tempo").join(parts.groupBy("path").agg(F.collect_set("track").alias("tracks")), "path", "left")
+    files = projects.files.join(own, "path").select("path", "content", text_of(F.col("content")).alias("text"), "ppq", "tempo", "tracks")
+
+    def planned(path: str, content: bytes, text: str, ppq: int, tempo: list, tracks: list | None, known: dict) -> dict:
+        out = {"path": path, "content": None, "gestures": 0, "skipped": 0, "notes_before": 0, "notes_after": 0, "error": None}
+        lines = content.splitlines(keepends=True)
+        seconds, new = seconds_in(tempo, ppq), {}
+        found = tracks_in(text, known)
+        try:
+            for k in sorted(tracks or []):
+                if found[k][1]:
+                    edits, n = planned_track(lines, found[k][1], seconds, ppq, bend_range)
                     new |= edits
                     for a, b in (("gestures", "gestures"), ("skipped", "skipped"), ("notes_before", "before"), ("notes_after", "after")):
                         out[a] += n[b]
-                if new:
-                    out["content"] = b"".join(new.get(k, line) for k, line in enumerate(lines))
-            except ValueError as e:
-                out["error"] = str(e)
-        return pd.DataFrame([out])
+            if new:
+                out["content"] = b"".join(new.get(k, line) for k, line in enumerate(lines))
+        except ValueError as e:
+            out["error"] = str(e)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
+        for batch in batches:
+            for row in zip(*batch.columns, strict=True):
+                yield pa.RecordBatch.from_pylist([planned(*(x.as_py() for x in row), known)], _PLAN)
 
-    return events.groupBy("path").cogroup(files.groupBy("file")).applyInPandas(run, PLAN)
+    return files.mapInArrow(run, PLAN)
 
 
 def reread(before: Projects, after: Projects) -> DataFrame:
@@ -122,12 +117,12 @@ def reread(before: Projects, after: Projects) -> DataFrame:
     """
     note = ["start", "end", "pitch", "velocity", "channel"]
     digest = lambda p: p.notes.groupBy("path", "track").agg(F.sum(F.xxhash64(*note).cast("decimal(38,0)")).alias("sum"), F.count("*").alias("n"), F.max("end").alias("last"))
-    touched = gestures.glides(before.timed_notes).select("path", "track").distinct().withColumn("touched", F.lit(True))
+    touched = gestures.glides(before.timed_lists).select("path", "track").distinct().withColumn("touched", F.lit(True))
     a, b = digest(before), digest(after).select("path", "track", *(F.col(c).alias(f"{c}_b") for c in ("sum", "n", "last")))
     both = a.join(after.files.select("path"), "path", "left_semi").join(b, ["path", "track"], "full").join(touched, ["path", "track"], "left")
     same = F.col("sum").eqNullSafe(F.col("sum_b")) & F.col("n").eqNullSafe(F.col("n_b"))
     rows = both.groupBy("path").agg(F.bool_and(F.coalesce("touched", F.lit(False)) | same).alias("same_others"), F.bool_and(F.col("last_b") >= F.col("last")).alias("last_tick_kept"))
-    left = gestures.glides(after.timed_notes).groupBy("path").agg(F.count("*").alias("gestures_left"))
+    left = gestures.glides(after.timed_lists).groupBy("path").agg(F.count("*").alias("gestures_left"))
     return rows.join(left, "path", "left").na.fill(0, ["gestures_left"])
 
 
