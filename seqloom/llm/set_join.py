@@ -62,6 +62,8 @@ TILE, PLACES, MOST_SEEN = 64, 8, 1_000_000
 MOST_CLASHES = 10_000
 #: Bits of a set's parity bitmap, by the size of the set; larger bitmaps fold onto smaller ones.
 WIDTHS = ((640, 512), (1536, 1024), (6_000, 4096), (float("inf"), 16_384))
+#: Places of an id in a Bloom filter, and bits that one has at most (64 MB); beyond, more texts than needed pass it.
+PROBES, MOST_BITS = 16, 1 << 29
 
 Names = dict[tuple[int, int], int]
 
@@ -252,20 +254,57 @@ def thinned(dealt: DataFrame, percent: int) -> DataFrame:
     return dealt.repartition(*keys).sortWithinPartitions(*keys, "n", "pos", "node").mapInArrow(run, "token long, n int, pos int, node long, leader long")
 
 
+def probes(ids: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """Places of ids in a Bloom filter of so many bits, a power of two."""
+    h = ids.view(np.uint64)
+    with np.errstate(over="ignore"):
+        at, step = mixed(h), mixed(h ^ np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+        for _ in range(PROBES):
+            yield (at & np.uint64(bits - 1)).astype(np.int64)
+            at = at + step
+
+
+def bloom(ids: np.ndarray) -> np.ndarray:
+    """A Bloom filter of ids, in bytes; 32 to 64 bits an id as long as they fit in MOST_BITS."""
+    bits = min(MOST_BITS, max(1024, 1 << (32 * len(ids) - 1).bit_length()))
+    out = np.zeros(bits // 8, np.uint8)
+    for at in probes(ids, bits):
+        np.bitwise_or.at(out, at >> 3, np.left_shift(np.uint8(1), (at & 7).astype(np.uint8)))
+    return out
+
+
+def may_hold(filter_: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    found = np.ones(len(ids), bool)
+    for at in probes(ids, 8 * len(filter_)):
+        found &= (filter_[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    return found
+
+
 def texts_of(need: DataFrame, docs: DataFrame, size: int, names: Names) -> DataFrame:
-    """(node, text, bits) of the needed nodes, each once; need: (node, rep)."""
+    """(node, text, bits) of the needed nodes, each once, and now and then of another; need: (node, rep).
+
+    The documents are picked where they lie, by a Bloom filter of the reps, so that no text is dealt. It may let through a further
+    document of a node, as repeated rows of one doc_id do; those are found by their nodes.
+    """
+    reps = need.select("rep").toArrow().column(0)
+    filter_, nulls = bloom(reps.drop_null().to_numpy()), reps.null_count > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1):
-            found = sets(batch.column(1), size)
-            at = [i for i, (a, b) in enumerate(zip(nodes_of(found, names), batch.column(0).to_pylist(), strict=True)) if a == b]
-            picked = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*picked.columns, pa.array([bitmap(found[i]) for i in at], pa.binary())], ["node", "text", "bits"])
-
-    wanted, n = small(need)
-    out = written(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text").mapInArrow(run, "node long, text string, bits binary"))
-    if out.count() != n:  # repeated rows of one doc_id
-        out, again = written(out.dropDuplicates(["node"])), out
+            ids = batch.column(0)
+            hit = np.where(ids.is_null().to_numpy(zero_copy_only=False), nulls, may_hold(filter_, ids.fill_null(0).to_numpy()))
+            picked = batch.column(1).take(pa.array(np.flatnonzero(hit)))
+            if len(picked):
+                found = sets(picked, size)
+                nodes = nodes_of(found, names)
+                at = [i for i, node in enumerate(nodes) if node is not None]
+                yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in at], pa.int64()), picked.take(pa.array(at, pa.int64())), pa.array([bitmap(found[i]) for i in at], pa.binary())], ["node", "text", "bits"])
+
+    out = written(docs.select("doc_id", "text").mapInArrow(run, "node long, text string, bits binary"))
+    twice, n = small(cut(out.groupBy("node").agg(F.count("*").alias("c")).where("c > 1").select("node")))
+    if n:
+        one = out.join(twice, "node", "left_semi").dropDuplicates(["node"])
+        out, again = written(out.join(twice, "node", "left_anti").unionByName(one)), out
         drop(again)
     return out
 

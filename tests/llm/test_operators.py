@@ -301,6 +301,29 @@ def test_jaccard_clashing_hashes(spark, monkeypatch):
     assert len(set(got)) == 5
 
 
+@pytest.mark.parametrize("bits", [set_join.MOST_BITS, 8])
+def test_texts_are_not_dealt(spark, bits, monkeypatch):
+    """Texts of the needed nodes are picked where they lie, each once, though further documents pass the filter (with 8 bits all do)."""
+    plans = []
+    monkeypatch.setattr(set_join, "written", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or common.written(df))
+    monkeypatch.setattr(set_join, "small", lambda nodes: (nodes, nodes.count()))  # nothing is broadcast
+    monkeypatch.setattr(set_join, "MOST_BITS", bits)
+    texts = {i: prose(20, 70 + i // 2) for i in range(40)}  # pairs of copies
+    made = [*texts.items(), (None, prose(20, 200)), (6, texts[6]), (7, "other words"), (41, None), (42, "")]
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    key = lambda t: sets(pa.array([t]), 4).keys()[0][0]
+    need = {key(texts[i]): (i, texts[i]) for i in range(0, 40, 6)} | {key(made[40][1]): made[40]}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = set_join.texts_of(spark.createDataFrame([(k, i) for k, (i, _) in need.items()], "node long, rep long"), docs, 4, {}).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len({r.node for r in found}) == len(found)
+    assert {k: t for k, (_, t) in need.items()}.items() <= {r.node: r.text for r in found}.items()
+    assert "SortMergeJoin" not in plans[0] and "hashpartitioning(doc_id" not in plans[0]
+
+
 def test_word_hashes():
     """Batches, slices and single texts give the same sets; long words and long texts included."""
     texts = [t or "" for t in TEXTS] + ["x" * 300 + " " + "y" * 300, "x" * 300 + " " + "y" * 299 + "z", prose(60_000, 3)]
