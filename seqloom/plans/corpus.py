@@ -21,29 +21,29 @@ def corpus_midi(projects: Projects) -> DataFrame:
 
     Events are in order of tick with note-offs first; the byte form is put together in Python, one project at a time.
     """
-    parts = projects.parts().withColumn("_ix", F.row_number().over(_by_path("track")) - 1)
-    channel = F.when(F.col("is_drum"), DRUM_CHANNEL).otherwise(music.melodic_channel(F.col("_ix")))
-    p = parts.select("path", "track", "canonical_name", "program", "is_drum", channel.alias("ch"))
-    notes = projects.note_lists.select("path", "track", "start", "end", "pitch", "velocity")
-    own = F.struct("track", "canonical_name", "program", "is_drum", "ch", "start", "end", "pitch", "velocity")
-    tracks = p.join(notes, ["path", "track"], "left").groupBy("path").agg(F.array_sort(F.collect_list(own)).alias("tracks"))
-    rows = tracks.join(projects.tempo, "path").select("path", "project_id", "ppq", "time_signature", "tempo", "tracks")
+    part = F.struct("track", "canonical_name", "program", "is_drum")
+    notes = projects.note_lists.groupBy("path").agg(F.collect_list(F.struct("track", "start", "end", "pitch", "velocity")).alias("notes"))
+    channel = lambda x, i: F.when(x["is_drum"], DRUM_CHANNEL).otherwise(music.melodic_channel(i)).cast("int")
+    parts = projects.parts().groupBy("path").agg(F.sort_array(F.collect_list(part)).alias("parts")).withColumn("channels", F.transform("parts", channel))
+    # the notes are never broadcast, whatever size Spark takes them for: that would leave all encoding to the few tasks of the parts
+    rows = notes.hint("merge").join(parts.join(projects.tempo, "path"), "path", "right").select("path", "ppq", "time_signature", "tempo", "parts", "channels", "notes")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c) for c in ("path", "ppq", "time_signature", "tempo", "tracks")]
-            for path, ppq, signature, tempo, tracks in zip(*columns, strict=True):
+            columns = [batch.column(c) for c in ("path", "ppq", "time_signature", "tempo", "parts", "channels", "notes")]
+            for path, ppq, signature, tempo, parts, channels, notes in zip(*columns, strict=True):
                 signature = signature.as_py()
                 den = max(0, int(signature["den"]).bit_length() - 1)
                 conductor = [(0, bytes([0xFF, 0x58, 4, signature["num"], den, 24, 8]))]
                 conductor += [(t["tick"], b"\xff\x51\x03" + t["us"].to_bytes(3)) for t in tempo.as_py()]
                 body = [media.midi_track(sorted(conductor, key=lambda e: e[0]), "conductor")]
-                for t in tracks.as_py():
-                    own = [] if t["is_drum"] else [(0, bytes([0xC0 | t["ch"], t["program"]]))]
-                    if t["start"] is not None:
-                        pitch, velocity, on, off = t["pitch"], t["velocity"], 0x90 | t["ch"], 0x80 | t["ch"]
+                lists = {n["track"]: n for n in notes.as_py() or []}
+                for t, channel in zip(parts.as_py(), channels.as_py(), strict=True):
+                    own = [] if t["is_drum"] else [(0, bytes([0xC0 | channel, t["program"]]))]
+                    if n := lists.get(t["track"]):
+                        pitch, velocity, on, off = n["pitch"], n["velocity"], 0x90 | channel, 0x80 | channel
                         # by tick, offs before ons, then by note
-                        points = sorted([(a, 1, k) for k, a in enumerate(t["start"])] + [(b, 0, k) for k, b in enumerate(t["end"])])
+                        points = sorted([(a, 1, k) for k, a in enumerate(n["start"])] + [(b, 0, k) for k, b in enumerate(n["end"])])
                         own += [(at, bytes((on, pitch[k], velocity[k])) if rank else bytes((off, pitch[k], 0))) for at, rank, k in points]
                     body.append(media.midi_track(own, t["canonical_name"]))
                 yield pa.RecordBatch.from_arrays([pa.array([path.as_py()]), pa.array([media.midi_file(body, ppq.as_py())], pa.binary())], ["path", "midi"])
@@ -51,12 +51,6 @@ def corpus_midi(projects: Projects) -> DataFrame:
     return rows.mapInArrow(encode, "path string, midi binary")
 
 
-def _by_path(*order: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy("path").orderBy(*order)
-
-
 def manifest_rows(projects: Projects, audio: DataFrame, splits: DataFrame, renderer: str, normalization: str = "none") -> DataFrame:
     """Manifest rows of projects that have audio; ids by order of path, before anything else is left out."""
     part = F.struct(
