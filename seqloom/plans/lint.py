@@ -42,7 +42,8 @@ def part_findings(parts: DataFrame, vocabulary: DataFrame | None = None) -> Data
 def gesture_findings(projects: Projects, parts: DataFrame, listed: list[str]) -> DataFrame:
     """Findings on the notes of parts, of the kinds ``listed`` (gestures, ramp, short, figure); those at a place begin with it, bar.beat @ m:ss.mmm."""
     own = parts.select("path", "track", "track_name", (~F.col("is_drum")).alias("_melodic"))
-    found = gestures.reported(projects.timed_lists.join(own.select("path", "track", "_melodic"), ["path", "track"]), "_melodic").where(F.col("kind").isin(*listed))
+    timed = projects.timed(own.select("path", "track", "_melodic").join(projects.tempo.select("path", "ppq", "tempo"), "path"), ["path", "track"])  # the small tables first, so notes are dealt once
+    found = gestures.reported(timed, "_melodic").where(F.col("kind").isin(*listed))
     found = found.join(projects.tempo.select("path", "ppq", "time_signature"), "path").join(own, ["path", "track"])
     sig, kind = F.col("time_signature"), F.col("kind")
     where = F.concat(F.lit("bar "), music.bar_beat(F.col("start_tick"), F.col("ppq"), sig["num"], sig["den"]), F.lit(" @ "), music.clock(F.col("at_seconds")))

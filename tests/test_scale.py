@@ -1,8 +1,11 @@
 """What queries over project files cost besides their rows: the size of their plans, and one pass over a file."""
 
+import random
+
 import pytest
 
-from seqloom.plans import catalogue
+from seqloom.plans import catalogue, corpus, file_queries, lint, rewrite
+from seqloom.sources import projects
 from seqloom.sources.projects import Projects
 
 DIR = "/root/testdata/sf0.001"
@@ -39,3 +42,43 @@ def test_one_pass_over_odd_lines(spark, newline):
     assert [tuple(r) for r in p.tracks.select("track", "note_count", "last_tick", "instrument_plugins").orderBy("track").collect()] == TRACKS
     assert [r.line for r in p.malformed.orderBy("ln").collect()] == MALFORMED
     assert {r.path for r in p.read.select("path").collect()} == {"/p/a.RPP", "/p/empty.RPP"}
+
+
+def test_plain_events_are_read_in_stretches(monkeypatch):
+    """No pattern sees an event line in the plain form; ticks and notes are those of the same lines in another form, read one by one."""
+    r, waiting = random.Random(4), "<TRACK\n"
+    for _ in range(400):
+        waiting += r.choice(["E {} 90 3c 40\n", "E {} 80 3c 00\n", "E {} 91 3C 40\n", "E {} 81 3c 00\n", "ENV\n", "E {} 90 3d 00\n", "<TRACK\n>\n"]).format(r.randrange(400))
+    odd = waiting.replace("E ", "E  ")
+    want, lines = projects.tracks_in(odd, {}), [own for own, _ in projects.tracks_in(waiting, {})]
+    on, off = projects.notes_of(projects.scanned(odd.encode(), {})[1])
+
+    class Unused:
+        def match(self, line):
+            assert line[1:2] != " ", line  # ENV lines only
+
+    monkeypatch.setattr(projects, "_EVENT", Unused())
+    assert [e for _, e in projects.tracks_in(waiting, {})] == [e for _, e in want] and lines == [own for own, _ in want]
+    a, b = projects.notes_of(projects.scanned(waiting.encode(), {})[1])
+    assert a.tolist() == on.tolist() and b.tolist() == off.tolist()
+    flat = [e for _, own in want for e in own]
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == sorted(n[5:] for n in projects.paired(flat))
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_notes_are_dealt_once_and_never_broadcast(spark):
+    p = file_queries.projects(spark, DIR)
+    midi = plan_of(corpus.corpus_midi(p))
+    assert "Window" not in midi and "SortMergeJoin" in midi
+    found = plan_of(lint.gesture_findings(p, p.parts(), ["gestures"]))
+    assert "SortMergeJoin" in found and "start_s" not in "".join(x for x in found.split("\n") if "Exchange" in x)
+
+
+def test_reread_keeps_notes_in_their_rows(spark):
+    p = file_queries.projects(spark, DIR)
+    plans = rewrite.plan(p).where("content IS NOT NULL").select("path", "content")
+    plan = plan_of(rewrite.reread(p, Projects(file_queries.held(plans))))
+    assert not [x for x in plan.split("\n") if "Generate posexplode(arrays_zip" in x]
