@@ -116,10 +116,13 @@ def reread(before: Projects, after: Projects) -> DataFrame:
     Tracks without a gesture keep their notes one by one, no gesture is left, and no part ends elsewhere than it may.
     """
     note = ["start", "end", "pitch", "velocity", "channel"]
-    digest = lambda p: p.notes.groupBy("path", "track").agg(F.sum(F.xxhash64(*note).cast("decimal(38,0)")).alias("sum"), F.count("*").alias("n"), F.max("end").alias("last"))
-    touched = gestures.glides(before.timed_lists).select("path", "track").distinct().withColumn("touched", F.lit(True))
-    a, b = digest(before), digest(after).select("path", "track", *(F.col(c).alias(f"{c}_b") for c in ("sum", "n", "last")))
-    both = a.join(after.files.select("path"), "path", "left_semi").join(b, ["path", "track"], "full").join(touched, ["path", "track"], "left")
+    # a row for each track, so its digest is one of its notes in order and needs no aggregation
+    digest = lambda n: n.select("path", "track", F.xxhash64(F.sort_array(F.arrays_zip(*note))).alias("sum"), F.size("start").alias("n"), F.array_max("end").alias("last"))
+    paths = after.files.select("path")
+    held = before.note_lists.join(paths, "path", "left_semi")
+    touched = gestures.glides(before.timed_lists.join(paths, "path", "left_semi")).select("path", "track").distinct().withColumn("touched", F.lit(True))
+    a, b = digest(held), digest(after.note_lists).select("path", "track", *(F.col(c).alias(f"{c}_b") for c in ("sum", "n", "last")))
+    both = a.join(b, ["path", "track"], "full").join(touched, ["path", "track"], "left")
     same = F.col("sum").eqNullSafe(F.col("sum_b")) & F.col("n").eqNullSafe(F.col("n_b"))
     rows = both.groupBy("path").agg(F.bool_and(F.coalesce("touched", F.lit(False)) | same).alias("same_others"), F.bool_and(F.col("last_b") >= F.col("last")).alias("last_tick_kept"))
     left = gestures.glides(after.timed_lists).groupBy("path").agg(F.count("*").alias("gestures_left"))
