@@ -266,6 +266,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     for block in item_blocks(benchmark, item_id, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
+        @common.trimmed
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = index_of(shared.value)
             for batch in common.rows(batches, 4096):
@@ -284,6 +285,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     for block in item_blocks(benchmark, item_id, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
+        @common.trimmed
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = index_of(shared.value)
             for batch in common.rows(batches, 4096):

@@ -87,6 +87,9 @@ def fast_encoder(ranks_path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+common.caches.append(fast_encoder)
+
+
 def runs_short(text: str) -> bool:
     """Are runs of both white space and other characters short enough for the fast encoder?"""
     if len(text) <= LONGEST_RUN:
@@ -114,6 +117,7 @@ def pieces_of(n: int, size: int) -> Iterator[tuple[int, int]]:
 def cut_and_place(docs: DataFrame, doc_id: str, text: str, size: int, end_id: int, open_bins: int, library_path: str, ranks_path: str) -> DataFrame:
     """Pieces with bin and place; ``fill``: what the piece's bin holds if it was still open at the end, else null."""
 
+    @common.trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = OpenBins(size, open_bins, TaskContext.get().partitionId() << 40)
         held: list[tuple] = []
@@ -140,6 +144,7 @@ def table_of(held: list[tuple], fill: dict[int, int]) -> pa.RecordBatch:
 def again(left: DataFrame, size: int, open_bins: int, tasks: int, level: int) -> DataFrame:
     """Pack blocks (bin, fill) once more; gives bin, fill, new bin and the block's offset in it."""
 
+    @common.trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = OpenBins(size, open_bins, level << 60 | TaskContext.get().partitionId() << 40)
         for batch in batches:

@@ -101,6 +101,7 @@ def indexed_of(n: str, percent: int) -> Column:
 def survey(docs: DataFrame, size: int) -> DataFrame:
     """Rows (doc_id, k1, k2, n) of all documents, and rows (shingle, times) of shingles found in three documents of some batch."""
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1):
             found = sets(batch.column(1), size)
@@ -158,6 +159,7 @@ def entries(docs: DataFrame, size: int, percent: int, often: tuple[np.ndarray, n
     order = np.argsort(often[0])
     by_value, parts_of = often[0][order], -(-often[1] // PORTION)
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
         for batch in pieces(batches, 1):
@@ -232,6 +234,7 @@ def thinned(dealt: DataFrame, percent: int) -> DataFrame:
     pair stands early: at one of the places that an equal set could still be reached from.
     """
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in complete(batches, ["token", "part"]):
             repeated = ~changes(g["token"], g["part"], g["node"])
@@ -289,6 +292,7 @@ def texts_of(need: DataFrame, docs: DataFrame, size: int, names: Names) -> DataF
     reps = need.select("rep").toArrow().column(0)
     filter_, nulls = bloom(reps.drop_null().to_numpy()), reps.null_count > 0
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1):
             ids = batch.column(0)
@@ -321,6 +325,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     wanted, _ = small(dealt.unionByName(dealt.select("y", "part").distinct().withColumn("x", F.col("y"))))
     both = wanted.join(texts.select(F.col("node").alias("x"), "text"), "x")
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = np.empty(0, np.int64)
         for batch in pieces(batches, 2):
@@ -446,6 +451,7 @@ def candidates(dealt: DataFrame, percent: int, first: bool) -> DataFrame:
     ``first``: only a forest of each, and a row with the token alone for each list that has further pairs.
     """
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in complete(batches, ["token", "lo", "hi"]):
             cuts = [*np.flatnonzero(changes(g["token"], g["lo"], g["hi"])).tolist(), len(g["token"])]
@@ -586,6 +592,7 @@ def link_counts(found: Settled, size: int, percent: int) -> DataFrame:
             return node[left], linked @ copies[right]
         return np.concatenate([node[left], node[right]]), np.concatenate([linked @ copies[right], copies[left] @ linked])
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # (group, own, node, copies, members) of the group that is not yet at its end
 
@@ -650,6 +657,7 @@ def with_nodes(docs: DataFrame, size: int, text: str, name: str, names: Names) -
     """The documents with their sets' nodes in a further column."""
     at = docs.columns.index(text)
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, at):
             yield batch.append_column(name, pa.array(nodes_of(sets(pc.fill_null(batch.column(at), ""), size), names), pa.int64()))

@@ -24,7 +24,7 @@ import xxhash
 #: Bytes worked on at once, and the longest word hashed as a polynomial.
 SEGMENT, LONG = 1 << 18, 256
 #: Rows and bytes of text of one batch; a longer text is a batch of its own.
-MOST_ROWS, MOST_BYTES = 2048, 8 << 20
+MOST_ROWS, MOST_BYTES = 2048, 1 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
 
