@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import groupby
 
 import numpy as np
@@ -29,7 +30,10 @@ GLIDES = "path string, track long, kind string, shape string, pitches array<int>
 RAMPS = "path string, track long, indices array<int>, reason string, at_seconds double, overlapping int, start_tick long"
 SHORTS = "path string, track long, pitches array<int>, start_tick long, at_seconds double, duration_s double, gap_before_s double, gap_after_s double"
 FIGURES = "path string, track long, pitches array<int>, start_tick long, at_seconds double, steps int, voices int, span int, step_s double"
-NOTES = ("start", "end", "pitch", "velocity", "channel", "start_s", "end_s")
+LISTED = ("start", "end", "pitch", "velocity", "channel")
+#: Parts whose arrays are worked on at once.
+AT_ONCE = 500
+NOTES = (*LISTED, "start_s", "end_s")
 REPORTED = "path string, track long, kind string, gestures long, dropped long, written long, max_bend int, notes int, reason string, pitches array<int>, start_tick long, at_seconds double, duration_s double, steps int, voices int, span int, step_s double"
 
 
@@ -54,24 +58,30 @@ class Part:
     @classmethod
     def listed(cls, columns: list[np.ndarray], ppq: int) -> Part:
         """A part of notes in order of (start, note_ix), by the columns of ``NOTES``."""
-        order = np.lexsort((columns[2], columns[0]))
-        return cls(*(c[order] for c in columns), ppq)
+        if len(columns[0]) and not (np.diff(columns[0]) > 0).all():
+            order = np.lexsort((columns[2], columns[0]))
+            columns = [c[order] for c in columns]
+        return cls(*columns, ppq)
 
     def __post_init__(self) -> None:
         self.held = self.s1 - self.s0
         self.qn = (self.end - self.start) / self.ppq
-        self.chords = self._chords()
         # single notes, the most by far, at once; chords one by one
-        single = np.array([len(c) == 1 for c in self.chords], bool)
-        heads = np.array([c[0] for c in self.chords], int)
+        self.alone = bool((np.diff(self.s0) >= CHORD_S).all())
+        heads = np.arange(len(self.s0)) if self.alone else np.array([c[0] for c in self.chords], int)
         d = np.diff(self.pitch[heads])
         self.moves = np.where((np.abs(d) >= 1) & (np.abs(d) <= 2), d, 0)
-        for k in np.flatnonzero(~(single[:-1] & single[1:])).tolist():
-            self.moves[k] = self._move(self.chords[k], self.chords[k + 1])
+        if not self.alone:
+            single = np.array([len(c) == 1 for c in self.chords], bool)
+            for k in np.flatnonzero(~(single[:-1] & single[1:])).tolist():
+                self.moves[k] = self._move(self.chords[k], self.chords[k + 1])
         self.first_s = self.s0[heads]
 
-    def _chords(self) -> list[np.ndarray]:
+    @cached_property
+    def chords(self) -> list[np.ndarray]:
         """Notes struck within a moment of the first and while it, or another of them, still sounds."""
+        if self.alone:
+            return list(np.arange(len(self.s0))[:, None])
         found: list[list[int]] = []
         until, head = -1, 0.0
         for i, (s0, start, end) in enumerate(zip(self.s0.tolist(), self.start.tolist(), self.end.tolist(), strict=True)):
@@ -97,6 +107,8 @@ class Part:
         """(first, last) chord of each maximal run in one direction, taken greedily from the left."""
         sign = np.where(np.diff(self.first_s) < STEP_GAP_S, np.sign(self.moves), 0)
         found, edge = [], 0
+        if not sign.any():
+            return []
         for direction, run in groupby(sign.tolist()):
             n = len(list(run))
             first = max(edge, found[-1][1] + 1 if found else 0)  # a chord belongs to one chain
@@ -286,25 +298,53 @@ def in_order(events: list[tuple[int, int, int, int]]) -> list[tuple[int, int, in
     return sorted(events, key=lambda e: (e[0], rank.get(e[1] & 0xF0, 4)))
 
 
+def seconds_at(tempo: tuple[np.ndarray, np.ndarray, np.ndarray], ppq: int, tick: np.ndarray) -> np.ndarray:
+    """Seconds at ticks of a file, as ``projects.seconds`` has them; tempo: tick, us, cum in order."""
+    ticks, us, cum = tempo
+    at = np.searchsorted(ticks, tick) - 1
+    j = np.maximum(at, 0)
+    return np.where(at >= 0, cum[j] + (tick - ticks[j]) / ppq * us[j] / 1e6, tick / ppq * us[0] / 1e6)
+
+
+def _lists(column: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(ends, values) of a column of arrays; of structs: the values of each field."""
+    ends = column.offsets.to_numpy().astype(int)
+    values = column.values.slice(ends[0], ends[-1] - ends[0])
+    return ends - ends[0], [v.to_numpy(zero_copy_only=False) for v in ([values.field(f) for f in fields] if fields else [values])]
+
+
+def parts_of(batch: pa.RecordBatch) -> Iterator[Part]:
+    """The parts of rows (ppq, tempo, ``LISTED``); files with one tempo, the most by far, have their seconds worked out at once."""
+    ends, start = _lists(batch.column(LISTED[0]))
+    flat = [c.astype(int) for c in (*start, *(_lists(batch.column(c))[1][0] for c in LISTED[1:]))]
+    steps, points = _lists(batch.column("tempo"), "tick", "us", "cum")
+    ppq = batch.column("ppq").to_numpy()
+    tick, us, cum, of = (np.repeat(v, np.diff(ends)) for v in (*(p[steps[:-1]] for p in points), ppq.astype(int)))
+    flat += [np.where(t > tick, cum + (t - tick) / of * us / 1e6, t / of * us / 1e6) for t in flat[:2]]
+    several = (np.diff(steps) > 1).tolist()
+    for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+        own = [c[a:b] for c in flat]
+        if several[i]:
+            tempo = tuple(v[steps[i] : steps[i + 1]] for v in points)
+            own[5:] = (seconds_at(tempo, int(ppq[i]), t) for t in own[:2])
+        yield Part.listed(own, int(ppq[i]))
+
+
 def per_part(timed_lists: DataFrame, schema: str, rows_of: Callable[..., list[dict]], *given: str) -> DataFrame:
     """The rows that ``rows_of`` gives for each part (and the columns ``given`` of it), with path and track."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole in batches:
             out = []
-            lists = [batch.column(c) for c in NOTES]
-            ends = [c.offsets.to_pylist() for c in lists]
-            flat = [c.values.to_numpy(zero_copy_only=False) for c in lists]
-            flat = [c if c.dtype.kind == "f" else c.astype(int) for c in flat]
-            rows = zip(*(batch.column(c).to_pylist() for c in ("path", "track", "ppq", *given)), strict=True)
-            for i, (path, track, ppq, *more) in enumerate(rows):
-                part = Part.listed([c[e[i] : e[i + 1]] for c, e in zip(flat, ends, strict=True)], ppq)
-                out += [{"path": path, "track": track, **r} for r in rows_of(part, *more)]
+            for batch in (whole.slice(at, AT_ONCE) for at in range(0, whole.num_rows, AT_ONCE)):
+                rows = zip(parts_of(batch), *(batch.column(c).to_pylist() for c in ("path", "track", *given)), strict=True)
+                for part, path, track, *more in rows:
+                    out += [{"path": path, "track": track, **r} for r in rows_of(part, *more)]
             if out:
                 yield pa.RecordBatch.from_pylist(out, arrow)
 
-    return timed_lists.select("path", "track", "ppq", *given, *NOTES).mapInArrow(run, schema)
+    return timed_lists.select("path", "track", "ppq", "tempo", *given, *LISTED).mapInArrow(run, schema)
 
 
 def glides(timed_lists: DataFrame) -> DataFrame:

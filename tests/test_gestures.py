@@ -1,10 +1,16 @@
 """Gesture detection on small parts, at 480 ticks a quarter note."""
 
+import random
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from seqloom.operators import gestures
 from seqloom.operators.gestures import Part, bend, detect, replacement, short_notes, small_figures
+from seqloom.sources import projects
 
 STEP, LONG = 20, 480
 
@@ -115,3 +121,27 @@ def test_replacement_events():
 
 def test_no_notes():
     assert detect(part(ramp(0, 60, 2))) == ([], [])
+
+
+def test_seconds_of_many_ticks(spark):
+    """The arrays' seconds are, bit by bit, those of the expression, before the first tempo event, on events, between and after them."""
+    r = random.Random(3)
+    for first in (0, 7):
+        tempo = [(first, 500_000, first / 480 * 0.5), (300, 333_333, 0.41), (300, 410_000, 0.41), (1000, 61_237, 0.9977)]
+        ticks = [*range(12), 299, 300, 301, 999, 1000, 1001, *(r.randrange(5000) for _ in range(200))]
+        rows = spark.createDataFrame([(tempo, 480, ticks)], "tempo array<struct<tick:long,us:long,cum:double>>, ppq int, ticks array<long>")
+        want = rows.select(F.transform("ticks", lambda x: projects.seconds(F.col("tempo"), F.col("ppq"), x)).alias("s")).first().s
+        assert gestures.seconds_at(tuple(np.array(c) for c in zip(*tempo, strict=True)), 480, np.array(ticks)).tolist() == want
+        one = pa.table({**{c: [[1], ticks, ticks] for c in gestures.LISTED}, "ppq": [480] * 3, "tempo": [[dict(zip(("tick", "us", "cum"), t, strict=True)) for t in x] for x in (tempo, tempo[:1], tempo)]})
+        alone = [gestures.seconds_at(tuple(np.array(c) for c in zip(*tempo[:1], strict=True)), 480, np.array(ticks)).tolist(), want]
+        assert [sorted(p.s0.tolist()) for p in gestures.parts_of(one.to_batches()[0].slice(1))] == [sorted(x) for x in alone]
+
+
+def test_single_notes_need_no_loop(monkeypatch):
+    """A part whose notes are struck apart is looked through without a list of its chords, which would be the same."""
+    rows = [(i * 200, i * 200 + 180, 40 + i * 7 % 30) for i in range(60)]
+    whole = part(rows)
+    assert whole.alone and [c.tolist() for c in whole.chords] == [[i] for i in range(60)]
+    monkeypatch.setattr(Part, "chords", property(lambda self: 1 / 0))
+    again = part(rows)
+    assert detect(again) == ([], []) and short_notes(again) == [] and small_figures(again, set()) == []

@@ -82,3 +82,21 @@ def test_reread_keeps_notes_in_their_rows(spark):
     plans = rewrite.plan(p).where("content IS NOT NULL").select("path", "content")
     plan = plan_of(rewrite.reread(p, Projects(file_queries.held(plans))))
     assert not [x for x in plan.split("\n") if "Generate posexplode(arrays_zip" in x]
+
+
+def test_files_are_written_in_stretches(spark):
+    """Rows are put in order by supplier alone: no lists of lines are built and sorted by Spark; a headers' table is worked out once for tempo."""
+    plan = plan_of(file_queries.project_text(spark, DIR))
+    assert "collect_list" not in plan and "MapInArrow" in plan
+    p = Projects(file_queries.project_text(spark, DIR).select("path", "content"))
+    assert str(p.tempo._jdf.queryExecution().optimizedPlan()).count("MapInArrow _files") <= 3  # headers, and the envelopes' heads and points
+
+
+def test_rows_of_files_share_batches():
+    import pyarrow as pa
+
+    text = "\n".join(ODD)
+    batch = pa.record_batch([pa.array([f"/p/{i}.RPP" for i in range(40)]), pa.array([text] * 40)], ["path", "text"])
+    found = list(projects._track_rows(iter([batch])))
+    alone = [next(projects._track_rows(iter([batch.slice(i, 1)]))) for i in range(40)]
+    assert len(found) == 1 and found[0].to_pylist() == [r for b in alone for r in b.to_pylist()]
