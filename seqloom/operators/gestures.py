@@ -313,8 +313,21 @@ def _lists(column: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray]
     return ends - ends[0], [v.to_numpy(zero_copy_only=False) for v in ([values.field(f) for f in fields] if fields else [values])]
 
 
-def parts_of(batch: pa.RecordBatch) -> Iterator[Part]:
-    """The parts of rows (ppq, tempo, ``LISTED``); files with one tempo, the most by far, have their seconds worked out at once."""
+def _calm(ends: np.ndarray, start: np.ndarray, end: np.ndarray, s0: np.ndarray, s1: np.ndarray, ppq: np.ndarray) -> np.ndarray:
+    """Which parts have notes struck a step's gap apart at least, none of them short: nothing is a chain, a chord, micro or a figure there."""
+    lively = (s1 - s0 < SHORT_S) | ((end - start) / ppq < FILLER_MOST_QN)
+    near = (s0[1:] - s0[:-1] < STEP_GAP_S) | (start[1:] <= start[:-1])
+    inner = np.ones(len(near), bool)
+    inner[ends[(ends > 0) & (ends < len(start))] - 1] = False  # from one part to the next
+    lively[1:] |= near & inner
+    return np.diff(np.concatenate([[0], np.cumsum(lively)])[ends]) == 0
+
+
+def parts_of(batch: pa.RecordBatch, calm: bool = True) -> Iterator[Part | None]:
+    """The parts of rows (ppq, tempo, ``LISTED``); files with one tempo, the most by far, have their seconds worked out at once.
+
+    Without ``calm``, None for those of them in which there is nothing to find (see ``_calm``).
+    """
     ends, start = _lists(batch.column(LISTED[0]))
     flat = [c.astype(int) for c in (*start, *(_lists(batch.column(c))[1][0] for c in LISTED[1:]))]
     steps, points = _lists(batch.column("tempo"), "tick", "us", "cum")
@@ -322,7 +335,11 @@ def parts_of(batch: pa.RecordBatch) -> Iterator[Part]:
     tick, us, cum, of = (np.repeat(v, np.diff(ends)) for v in (*(p[steps[:-1]] for p in points), ppq.astype(int)))
     flat += [np.where(t > tick, cum + (t - tick) / of * us / 1e6, t / of * us / 1e6) for t in flat[:2]]
     several = (np.diff(steps) > 1).tolist()
+    skipped = np.zeros(len(several), bool) if calm else _calm(ends, flat[0], flat[1], flat[5], flat[6], of)
     for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+        if skipped[i] and not several[i]:
+            yield None
+            continue
         own = [c[a:b] for c in flat]
         if several[i]:
             tempo = tuple(v[steps[i] : steps[i + 1]] for v in points)
@@ -330,21 +347,24 @@ def parts_of(batch: pa.RecordBatch) -> Iterator[Part]:
         yield Part.listed(own, int(ppq[i]))
 
 
-def per_part(timed_lists: DataFrame, schema: str, rows_of: Callable[..., list[dict]], *given: str) -> DataFrame:
-    """The rows that ``rows_of`` gives for each part (and the columns ``given`` of it), with path and track."""
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+def per_part(timed_lists: DataFrame, schema: str, rows_of: Callable[..., list[dict]], *given: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """The rows that ``rows_of``, which finds gestures, ramps, short notes or figures, gives for each part (and the columns ``given`` of it), with path, track and the columns ``also`` of it."""
+    out_of = StructType([*StructType.fromDDL(schema), *(timed_lists.schema[c] for c in also)])
+    arrow = to_arrow_schema(out_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             out = []
             for batch in (whole.slice(at, AT_ONCE) for at in range(0, whole.num_rows, AT_ONCE)):
-                rows = zip(parts_of(batch), *(batch.column(c).to_pylist() for c in ("path", "track", *given)), strict=True)
-                for part, path, track, *more in rows:
-                    out += [{"path": path, "track": track, **r} for r in rows_of(part, *more)]
+                rows = zip(parts_of(batch, calm=False), *(batch.column(c).to_pylist() for c in ("path", "track", *given)), strict=True)
+                for i, (part, path, track, *more) in enumerate(rows):
+                    if part and (own := rows_of(part, *more)):
+                        same = {"path": path, "track": track, **{c: batch.column(c)[i].as_py() for c in also}}
+                        out += [{**same, **r} for r in own]
             if out:
                 yield pa.RecordBatch.from_pylist(out, arrow)
 
-    return timed_lists.select("path", "track", "ppq", "tempo", *given, *LISTED).mapInArrow(run, schema)
+    return timed_lists.select(*dict.fromkeys(("path", "track", "ppq", "tempo", *given, *also, *LISTED))).mapInArrow(run, out_of)
 
 
 def glides(timed_lists: DataFrame) -> DataFrame:
@@ -367,8 +387,8 @@ def figures(timed_lists: DataFrame) -> DataFrame:
     return per_part(timed_lists, FIGURES, lambda p: small_figures(p, covered(*detect(p))))
 
 
-def reported(timed_lists: DataFrame, melodic: str) -> DataFrame:
-    """What a report lists, each part looked at once: kind (gestures, ramp, short, figure) and its columns, others null.
+def reported(timed_lists: DataFrame, melodic: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """What a report lists, each part looked at once: kind (gestures, ramp, short, figure) and its columns, others null; and the part's columns ``also``.
 
     Short notes and figures are those of parts for which the column ``melodic`` holds.
     """
@@ -385,7 +405,7 @@ def reported(timed_lists: DataFrame, melodic: str) -> DataFrame:
             out += [{"kind": "figure", **r} for r in small_figures(p, covered(found, ramps))]
         return out
 
-    return per_part(timed_lists, REPORTED, rows, melodic)
+    return per_part(timed_lists, REPORTED, rows, melodic, also=also)
 
 
 def gesture_totals(found: DataFrame) -> DataFrame:
