@@ -16,7 +16,7 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -221,11 +221,11 @@ def short_notes(part: Part) -> list[dict]:
     out = []
     if not (part.held < SHORT_S).any():  # then no chord is short
         return []
-    opens, closes = [part.s0[c].min() for c in part.chords], [part.s1[c].max() for c in part.chords]
+    opens, closes = (part.s0, part.s1) if part.alone else ([part.s0[c].min() for c in part.chords], [part.s1[c].max() for c in part.chords])
     for k, c in enumerate(part.chords):
         before = opens[k] - closes[k - 1] if k else None
         after = opens[k + 1] - closes[k] if k + 1 < len(opens) else None
-        length = float(np.median(part.held[c]))
+        length = float(part.held[k] if part.alone else np.median(part.held[c]))
         space = [g for g in (before, after) if g is not None]
         if length < SHORT_S and space and max(space) >= SPACE_S:
             out.append({"pitches": part.tones(c).tolist(), "start_tick": int(part.start[c].min()), "at_seconds": float(opens[k]), "duration_s": length, "gap_before_s": before, "gap_after_s": after})
@@ -238,8 +238,9 @@ def small_figures(part: Part, covered: set[int]) -> list[dict]:
         return []
     runs: list[list[int]] = [[]]
     way = 0
-    for k, c in enumerate(part.chords):
-        if not (part.qn[c] < FILLER_MOST_QN).all():
+    small = part.qn < FILLER_MOST_QN
+    for k, (c, all_small) in enumerate(zip(part.chords, small.tolist() if part.alone else [small[c].all() for c in part.chords], strict=True)):
+        if not all_small:
             runs.append([])
             way = 0
             continue
@@ -323,6 +324,17 @@ def _calm(ends: np.ndarray, start: np.ndarray, end: np.ndarray, s0: np.ndarray,
     return np.diff(np.concatenate([[0], np.cumsum(lively)])[ends]) == 0
 
 
+def lively() -> Column:
+    """Whether there may be anything to find in a part (a row with ppq, tempo and ``projects.LEAST``), so that notes of others needn't be looked at.
+
+    As ``_calm``, by the least gap and length in ticks; a part in a file with several tempos counts as lively, and so does one at the very edge.
+    """
+    in_seconds = lambda ticks: F.try_divide(ticks, F.col("ppq")) * F.get("tempo", F.lit(0))["us"] / 1e6
+    gap, length, edge = F.coalesce("least_gap", F.lit(2**40)), F.col("least_length"), 1 + 1e-6
+    short = (in_seconds(length) < SHORT_S * edge) | (F.try_divide(length, F.col("ppq")) < FILLER_MOST_QN * edge)
+    return F.coalesce((F.size("tempo") != 1) | short | (gap <= 0) | (in_seconds(gap) < STEP_GAP_S * edge), F.lit(True))
+
+
 def parts_of(batch: pa.RecordBatch, calm: bool = True) -> Iterator[Part | None]:
     """The parts of rows (ppq, tempo, ``LISTED``); files with one tempo, the most by far, have their seconds worked out at once.
 

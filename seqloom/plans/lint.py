@@ -11,6 +11,7 @@ from seqloom.operators import gestures, relations
 from seqloom.sources.projects import AMPLE, AMPLE_GUITAR, BEND_RANGE, Projects
 
 MOST_LOCATED = 40
+LOCATED = ["ramp", "short", "figure"]
 FINDING = ["path", "track", "rule", "severity", "tick", "message"]
 
 
@@ -72,7 +73,14 @@ def lint(projects: Projects, vocabulary: DataFrame | None = None, allow_ramps: b
     broken = projects.malformed.select("path", F.lit(None).cast("long").alias("track"), "line")
     found.append(_finding(broken, "malformed event", "problem", F.concat(text("malformed event line: "), F.left("line", F.lit(60)))))
     listed = [k for k, wanted in (("gestures", not allow_ramps), ("ramp", not allow_polyphonic), ("short", warnings), ("figure", warnings)) if wanted]
-    return reduce(DataFrame.unionByName, [*found, note_findings(projects.timed_parts, listed)] if listed else found).select(*FINDING)
+    return reduce(DataFrame.unionByName, [*found, located(projects, listed)] if listed else found).select(*FINDING)
+
+
+def located(projects: Projects, listed: list[str] = LOCATED) -> DataFrame:
+    """``note_findings`` of all parts; those of the kinds ``LOCATED`` are all findings of ``lint`` that have a position."""
+    p = projects.timed_parts
+    p = p.select(*p.columns, F.explode(F.array(gestures.lively())).alias("_lively")).where("_lively")  # not pushed below, where tempo would be worked out at each mention
+    return note_findings(p, listed).select(*FINDING)
 
 
 def statuses(projects: Projects, findings: DataFrame) -> DataFrame:
